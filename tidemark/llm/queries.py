@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .line_dedup import dedup_lines
+from .simhash import near_duplicates
+from .url_filter import judge_urls
+from .warc import archive_and_read
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +20,20 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup}
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archive_and_read(table(spark, sf_dir, "pages").select("page_id", "url", "html"), with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_warc": op2_warc, "op3_simhash": op3_simhash, "op7_url_filter": op7_url_filter}
 
 ASCII_UP, ASCII_LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -32,5 +48,22 @@ m as (select k.*, (lost.key is not null and k.doc_id is distinct from lost.last)
 select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
 from m group by doc_id
+""",
+    "op2_warc": """
+with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+d as (select page_id, octet_length(payload)::bigint as payload_bytes, sha256(payload) as payload_digest from p),
+r as (select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest, payload_bytes) else page_id end as first from d)
+select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id != first then first end as refers_to
+from r
+""",
+    "op7_url_filter": """
+with u as (select page_id, case when url like '%://%' then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+hp as (select page_id, regexp_extract(rest, '^[^/?#]*') as h, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+l as (select page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path from hp),
+rules(rh, rp, says) as (values ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
+m as (select l.*, rh || rp as rule, says, row_number() over (partition by page_id order by length(rh || rp) desc nulls last) as k
+  from l left join rules on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp))
+select page_id, host, path, rule, coalesce(says, 'allow') as verdict from m where k = 1
 """,
 }
