@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid
+from .bpe import encode_documents
 from .line_dedup import dedup_lines
 from .simhash import near_duplicates
 from .url_filter import judge_urls
@@ -33,7 +35,28 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_warc": op2_warc, "op3_simhash": op3_simhash, "op7_url_filter": op7_url_filter}
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), langid.train_on(docs))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path()))
+
+
+def digests(encoded: DataFrame) -> DataFrame:
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_simhash, op7_url_filter, op8_language_id, op9_bpe)}
 
 ASCII_UP, ASCII_LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
