@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import langid
 from .bpe import encode_documents
+from .embed_dedup import near_vectors
 from .line_dedup import dedup_lines
 from .simhash import near_duplicates
 from .url_filter import judge_urls
@@ -31,6 +32,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -56,7 +61,7 @@ def digests(encoded: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_simhash, op7_url_filter, op8_language_id, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_simhash, op4_embedding_dedup, op7_url_filter, op8_language_id, op9_bpe)}
 
 ASCII_UP, ASCII_LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -79,6 +84,14 @@ r as (select *, case when payload_bytes >= 100 then min(page_id) over (partition
 select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type,
   case when page_id != first then first end as refers_to
 from r
+""",
+    "op4_embedding_dedup": """
+with recursive v as (select vec_id, label, embedding::double[] as e from embeddings),
+sound as (select * from v where label is not null and e is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(e, lambda x: x != 0)) > 0),
+links as materialized (select a.vec_id as a, b.vec_id as b from sound a join sound b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id != b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(vec_id, low) as (select vec_id, vec_id from v union select links.b, reach.low from reach join links on links.a = reach.vec_id where reach.low < links.b),
+c as (select vec_id, min(low) as component_id from reach group by vec_id)
+select c.vec_id, (select count(*) from links where a = c.vec_id)::bigint as n_links, component_id, c.vec_id = component_id as kept from c
 """,
     "op7_url_filter": """
 with u as (select page_id, case when url like '%://%' then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
