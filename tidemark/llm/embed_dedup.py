@@ -16,6 +16,8 @@ TILE, ROWS, FIT = 4096, 512, 4096
 #: Leading dimensions after which pairs are dropped. Sums this close to the threshold are computed again.
 STEPS, NEAR = (8, 16, 32, 64, 128, 256, 512), 1e-9
 SALTS = 16
+#: Stands for the smallest of no ids where pandas would turn whole numbers into floats.
+NO_ID = (1 << 63) - 1
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -123,8 +125,7 @@ def _tiler(turn: np.ndarray, size: int):
             return made
 
         for part in batches:
-            least = part["least"].astype(object).where(part["least"].notna(), None)
-            for row in zip(part["k1"], part["k2"], part["label"], part["dim"], part["v"], part["n"], least, part["lead"]):
+            for row in zip(*(part[c] for c in ("k1", "k2", "label", "dim", "v", "n", "least", "lead"))):
                 if held and (len(held) == size or row[2:4] != held[-1][2:4]):
                     yield out()
                 held.append(row)
@@ -150,8 +151,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     row = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
     sound = F.coalesce(F.col("label").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     k1, k2 = hash128(F.col("label"), F.col("v"))
+    text_ids = dict(row.dtypes)["id"] == "string"
     good = row.where(sound).select("id", "label", "v", k1.alias("k1"), k2.alias("k2"))
-    classes = good.groupBy("k1", "k2").agg(F.any_value("label").alias("label"), F.any_value("v").alias("v"), F.count("*").alias("n"), F.min("id").alias("least"))
+    classes = good.groupBy("k1", "k2").agg(F.any_value("label").alias("label"), F.any_value("v").alias("v"), F.count("*").alias("n"), F.min(F.col("id").cast("string")).alias("least") if text_ids else F.coalesce(F.min("id"), F.lit(NO_ID)).cast("long").alias("least"))
     classes = written(classes.withColumn("dim", F.size("v")), "vectors")
     spark = vectors.sparkSession
 
@@ -186,6 +188,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     joined = member.join(counts, "node", "left").join(parts, "node", "left")
     joined = written(joined.select("k1", "k2", "least", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("c")), "members")
     low = joined.groupBy("c").agg(F.min("least").alias("component"))
+    if not text_ids:
+        low = low.withColumn("component", F.nullif("component", F.lit(NO_ID)))
     classed = joined.join(low, "c").select(F.col("k1").alias("j1"), F.col("k2").alias("j2"), "n_links", "component")
     keyed = row.select("id", F.when(sound, k1).alias("k1"), F.when(sound, k2).alias("k2"))
     out = keyed.join(classed, (F.col("k1") == F.col("j1")) & (F.col("k2") == F.col("j2")), "left")
