@@ -11,6 +11,7 @@ from .decontam import contaminated
 from .embed_dedup import near_vectors
 from .line_dedup import dedup_lines
 from .simhash import near_duplicates
+from .substring import repeated_passages
 from .url_filter import judge_urls
 from .warc import archive_and_read
 
@@ -62,12 +63,16 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path()))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return encoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_simhash, op4_embedding_dedup, op6_decontamination, op7_url_filter, op8_language_id, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_simhash, op4_embedding_dedup, op6_decontamination, op7_url_filter, op8_language_id, op9_bpe, op10_substring_dedup)}
 
 ASCII_UP, ASCII_LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
