@@ -10,6 +10,7 @@ from .bpe import encode_documents
 from .decontam import contaminated
 from .embed_dedup import near_vectors
 from .line_dedup import dedup_lines
+from .quality import classify
 from .simhash import near_duplicates
 from .substring import repeated_passages
 from .url_filter import judge_urls
@@ -38,6 +39,10 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "coverage", "n_words", "tiles")
@@ -72,7 +77,7 @@ def digests(encoded: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_simhash, op4_embedding_dedup, op6_decontamination, op7_url_filter, op8_language_id, op9_bpe, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_warc, op3_simhash, op4_embedding_dedup, op5_quality, op6_decontamination, op7_url_filter, op8_language_id, op9_bpe, op10_substring_dedup)}
 
 ASCII_UP, ASCII_LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
