@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes that are hashed at once; a longer text is taken in parts that end between words.
-AT_ONCE = 2_000_000
+AT_ONCE = 400_000
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -41,7 +41,9 @@ class Tokenizer:
     def _hash(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(data) >= len(self.up):
             self.up, self.down = powers(len(data)), powers(len(data), pow(BASE, -1, 1 << 64))
-        edge = np.diff(np.concatenate([[0], self.word[data].view(np.int8), [0]]))
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = self.word[data]
+        edge = np.diff(inside)
         a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         total = np.zeros(len(data) + 1, np.uint64)
         with np.errstate(over="ignore"):
