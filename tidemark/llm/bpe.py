@@ -23,7 +23,7 @@ AHEAD = 3
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 COMMON = "\\x00-\u0557\u05d0-\u05ea\u0620-\u064a\u0900-\u0970\u0e01-\u0e3a\u2000-\u2070\u20a0-\u20bf\u2100-\u218b\u2190-\u23ff\u2500-\u27bf\u3000-\u3096\u30a1-\u30ff\u3400-\u4db5\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e\U0001f300-\U0001f64f"
 #: What a worker remembers: pieces, and characters of chunks.
-PIECES, CHUNK_CHARS = 300_000, 8_000_000
+PIECES, CHUNK_CHARS = 150_000, 1_000_000
 
 
 class Encoded(NamedTuple):

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 #: Units of each direction; bytes that one run of the network covers.
 UNITS, REACH = 16, 24
-#: Words whose results a worker process keeps.
-KEPT_WORDS = 400_000
+#: Words whose results a worker process keeps; characters that it takes apart at once.
+KEPT_WORDS, CHARS_AT_ONCE = 250_000, 1_000_000
 
 
 def segments(text: str) -> list[bytes]:
@@ -197,24 +197,31 @@ def predictor(model: Model):
         kept = sys.modules.setdefault("_tidemark_kept", types.ModuleType("_tidemark_kept")).__dict__
         index, sums, sizes = kept.get(name) or ({}, np.empty((0, len(model.langs)), np.float32), np.empty(0, np.float32))
         for texts in batches:
-            found = [segments(t) if t is not None and model.langs and letter(t) else [] for t in texts]
-            new = list({w for words in found for w in words if w not in index})
-            if new:
-                if len(index) > KEPT_WORDS:
-                    index, sums, sizes = {}, sums[:0], sizes[:0]
-                    new = list({w for words in found for w in words})
-                index |= zip(new, range(len(index), len(index) + len(new)))
-                sums, sizes = np.concatenate([sums, model.sums(new)]), np.concatenate([sizes, np.array([len(w) + 2 for w in new], np.float32)])
-            langs, scores = [], []
-            for words in found:
-                if not words:
-                    langs.append("und")
-                    scores.append(0.0)
-                    continue
-                at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-                p = sums[at].sum(0, dtype=np.float64) / sizes[at].sum(dtype=np.float64)
-                langs.append(model.langs[int(p.argmax())])
-                scores.append(float(min(1.0, p.max())))
+            langs, scores, at = [], [], 0
+            texts = texts.tolist()
+            while at < len(texts):
+                end, held = at, 0
+                while end < len(texts) and held < CHARS_AT_ONCE:
+                    held += len(texts[end] or "") + 1
+                    end += 1
+                found = [segments(t) if t is not None and model.langs and letter(t) else [] for t in texts[at:end]]
+                at = end
+                new = list({w for words in found for w in words if w not in index})
+                if new:
+                    if len(index) + len(new) > KEPT_WORDS:
+                        index, sums, sizes = {}, sums[:0], sizes[:0]
+                        new = list({w for words in found for w in words})
+                    index |= zip(new, range(len(index), len(index) + len(new)))
+                    sums, sizes = np.concatenate([sums, model.sums(new)]), np.concatenate([sizes, np.array([len(w) + 2 for w in new], np.float32)])
+                for words in found:
+                    if not words:
+                        langs.append("und")
+                        scores.append(0.0)
+                        continue
+                    rows = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+                    p = sums[rows].sum(0, dtype=np.float64) / sizes[rows].sum(dtype=np.float64)
+                    langs.append(model.langs[int(p.argmax())])
+                    scores.append(float(min(1.0, p.max())))
             yield pd.DataFrame({"lang": pd.Series(langs, dtype=object), "score": pd.Series(scores, dtype="float64")})
         kept[name] = (index, sums, sizes)
 
