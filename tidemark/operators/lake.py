@@ -60,18 +60,22 @@ def silver_table(spark: SparkSession, lake: Lake) -> Table:
 
 
 def update_silver(spark: SparkSession, lake: Lake, metadata_only: bool = False) -> int:
-    """Brings silver up to bronze and returns how many versions are new. Only notices whose
-    derived versions differ from the stored ones are written; none, and nothing is written."""
+    """Brings silver up to bronze and returns how many versions are new. Keys and dates alone, which
+    settle every bracket, tell which notices have changed; only those are derived whole and take
+    the place of what is stored. Without any, nothing is written."""
     bronze, table = bronze_table(spark, lake).read(), silver_table(spark, lake).ensure()
-    want, have = silver_from(bronze, metadata_only), table.read()
-    keys = ["codigo", "revision"] if metadata_only else ["codigo", "revision", "body_hash"]
-    row = lambda df: df.select("codigo", F.xxhash64(*[f.name for f in SILVER.fields]).alias("h"))
-    touched = row(want).exceptAll(row(have)).select("codigo").union(row(have).exceptAll(row(want)).select("codigo")).distinct()
+    have = table.read()
+    keys, order = (["codigo", "revision"], ["revision"]) if metadata_only else (["codigo", "revision", "body_hash"], ["revision", "effective_date", "body_hash"])
+    slim = brackets(first_sightings(bronze.select(*keys, "_snapshot_date"), keys), order=order)
+    row = lambda df: df.select("codigo", F.xxhash64(*keys, "valid_from", "valid_to", "is_current").alias("h"))
+    touched = row(slim).join(row(have), ["codigo", "h"], "left_anti").select("codigo").union(row(have).join(row(slim), ["codigo", "h"], "left_anti").select("codigo")).distinct()
     if touched.isEmpty():
         return 0
-    same = [want[k].eqNullSafe(have[k]) for k in keys]
-    new = want.join(have.select(*keys), same, "left_anti").count()
-    table.upsert(want.join(touched, "codigo", "left_semi"), ["codigo"])
+    want = silver_from(bronze.join(touched, "codigo", "left_semi"), metadata_only)
+    known = have.select(*[F.col(k).alias(f"known {k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"`known {k}`")) for k in keys]
+    new = want.select(*keys).join(known, same, "left_anti").count()
+    table.upsert(want, ["codigo"])
     return new
 
 
