@@ -26,7 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/tidemark-{what}-{uuid.uuid4().hex}"
+    """A new path in the application's own folder of the shared one."""
+    return f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Removes what this application has written to the shared folder. Results that still read
+    from it must have been written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, what: str = "cut") -> DataFrame:

@@ -117,7 +117,7 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def _strength(groups: DataFrame, mean: str, total: float) -> Column:
+def _strength(mean: str) -> Column:
     """How many observations a prior is worth, by moments: the spread of the groups' means around
     `mean` beyond what their sizes explain. Between 1 and 10,000."""
     spread = F.sum(F.col("n") * (F.col("s") / F.col("n") - F.col(mean)) ** 2) / F.greatest(F.sum("n"), F.lit(1))
@@ -157,10 +157,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         total = paths.agg(F.sum(h) / F.sum("n")).head()[0]
         total = 0.5 if total is None else float(total)
         hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum(h).alias("s")).withColumn("m", F.lit(total))
-        k = hosts.agg(_strength(hosts, "m", total)).head()[0] or 1.0
+        k = hosts.agg(_strength("m")).head()[0] or 1.0
         hosts = hosts.select(F.col("host").alias("host2"), ((F.col("s") + k * total) / (F.col("n") + k)).alias("m"))
         within = paths.select("host", "path", "n", F.col(h).alias("s")).join(hosts, F.col("host").eqNullSafe(F.col("host2")))
-        k = within.agg(_strength(within, "m", total)).head()[0] or 1.0
+        k = within.agg(_strength("m")).head()[0] or 1.0
         within = within.select(F.col("host").alias("host2"), F.col("path").alias("path2"), F.col("m").alias(f"host_{h}"), ((F.col("s") + k * F.col("m")) / (F.col("n") + k)).alias(f"path_{h}"))
         posterior = posterior.join(within, F.col("host").eqNullSafe(F.col("host2")) & F.col("path").eqNullSafe(F.col("path2"))).drop("host2", "path2").withColumn(f"shift_{h}", _logit(F.col(f"path_{h}")) - _logit(F.lit(total)))
     posterior = written(posterior.drop("n", *HEADS).withColumnsRenamed({"host": "host2", "path": "path2"}), "posteriors")
