@@ -142,7 +142,7 @@ def test_routes():
 
 
 def test_gates_and_citations(spark, notes, chunks):
-    asked = ["acuerdos del IMSS sobre vacunas", "salud en 1999", "higiene", "zzzzz qqqqq", "¿Cuántas notas publicó COFEPRIS este año?", "medicamentos"]
+    asked = ["acuerdos del IMSS sobre vacunas", "salud en 2019", "higiene", "zzzzz qqqqq", "¿Cuántas notas publicó COFEPRIS este año?", "medicamentos"]
     p = plans(spark, notes, *asked)
     hits = search(spark, notes, chunks, *asked).join(chunks.select("codigo", "chunk_ix", "texto"), ["codigo", "chunk_ix"])
 
