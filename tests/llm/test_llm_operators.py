@@ -248,6 +248,20 @@ def test_decontamination(spark, monkeypatch):
     assert pairs() == want and left() == ["2", "3", "4", "5"]
 
 
+def test_decontamination_folds_case_of_all_letters(spark, monkeypatch):
+    import unicodedata
+
+    item = "El Niño comió después más piñas que Íñigo según la lección número dos de Óscar Núñez allí en la estación de Málaga über die Straße für Åsa"
+    texts = [prose(1, 50) + " " + item.upper() + " " + prose(2, 20), unicodedata.normalize("NFD", item), prose(3, 60), item.lower()]
+    bench = spark.createDataFrame([(1, item), (2, unicodedata.normalize("NFD", item.upper()))], "item_id long, text string")
+    df = docs(spark, texts)
+    for most in (decontam.MOST_SEEDS, 0):
+        monkeypatch.setattr(decontam, "MOST_SEEDS", most)
+        got = sorted((x["doc_id"], x["item_id"], x["coverage"]) for x in decontam.contaminated(df, bench).collect())
+        assert got == [(d, i, 1.0) for d in (0, 1, 3) for i in (1, 2)]
+        assert [x["doc_id"] for x in decontam.drop_contaminated(df, bench).collect()] == [2]
+
+
 def test_urls(spark):
     link = lambda u: f"<html><head><link href='{u}' class=x rel=\"canonical\"></head>"
     jump = lambda u: f'<meta http-equiv="Refresh" content="0; URL={u}">'

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import hash128, written
-from .tokens import Tokenizer, gram_hashes, running_hashes
+from .tokens import Tokenizer, folded, gram_hashes, running_hashes
 
 #: The shortest match, in words; the share of a passage that makes a document contaminated.
 LEAST, COVERAGE = 5, 0.5
@@ -93,7 +93,7 @@ class Items:
     def __init__(self, texts: list[str | None], least: int = LEAST) -> None:
         tokens, self.least, self.items = Tokenizer(), least, []
         for t in texts:
-            self.items.append(tokens.words((t or "").encode("utf-8", "replace"))[0])
+            self.items.append(tokens.words(folded(t).encode("utf-8", "replace"))[0])
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         by: dict[int, list] = defaultdict(list)
         for i, h in enumerate(self.items):
@@ -127,7 +127,7 @@ _SPANS = "array<struct<doc_word: int, item_word: int, n_words: int>>"
 def _found(items: Items, texts: list[str | None], least: int, coverage: float) -> Iterator[tuple[int, int, int, int, list]]:
     """(text, item, words marked, words of the item, tiles) for each covered pair."""
     tokens = Tokenizer()
-    for first, _, cut, h, _, _ in tokens.groups(texts):
+    for first, _, cut, h, _, _ in tokens.groups([folded(t) for t in texts]):
         for t, i in sorted(items.pairs(h, cut)):
             item = items.items[i]
             parts = tiles(h[cut[t] : cut[t + 1]], item, least)
@@ -158,10 +158,10 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
     """A row for each document and test passage of which the document has at least `coverage`:
     the ids, coverage (words in tiles by words of the passage), n_words (in tiles) and tiles.
 
-    Words are runs of ASCII letters, digits and non-ASCII characters with A-Z lower-cased, so
-    punctuation and line breaks between them don't matter; nor does the order of the parts, each
-    of which has at least `least` words (a shorter passage must occur whole). Null and empty
-    texts match nothing. Repeated rows give a row each; null ids pass through. An empty table on
+    Words are runs of ASCII letters, digits and non-ASCII characters, after Unicode case folding
+    and composition of both sides, so case in any script, punctuation and line breaks between
+    words don't matter; nor does the order of the parts, each of which has at least `least` words
+    (a shorter passage must occur whole). Null and empty texts match nothing. Repeated rows give a row each; null ids pass through. An empty table on
     either side gives no rows.
 
     A benchmark of proven small size goes to every task, and documents are neither shuffled nor
@@ -197,7 +197,7 @@ def _by_shuffle(docs: DataFrame, bench: DataFrame, least: int, coverage: float,
             tokens = Tokenizer()
             for part in parts:
                 keys = [part.column(i).to_pylist() for i in (0, 1)]
-                for first, texts, cut, h, _, _ in tokens.groups(part.column(2).to_pylist()):
+                for first, texts, cut, h, _, _ in tokens.groups([folded(t) for t in part.column(2).to_pylist()]):
                     for t in range(len(texts)):
                         own = h[cut[t] : cut[t + 1]]
                         ns = lengths if kind == "doc" else [min(least, len(own))]
@@ -229,7 +229,7 @@ def _by_shuffle(docs: DataFrame, bench: DataFrame, least: int, coverage: float,
 def _n_words(text: str, most: int):
     def count(texts: pd.Series) -> pd.Series:
         tokens = Tokenizer()
-        return pd.Series([min(most, len(tokens.words((t or "").encode("utf-8", "replace"))[0])) for t in texts], dtype="int32")
+        return pd.Series([min(most, len(tokens.words(folded(t).encode("utf-8", "replace"))[0])) for t in texts], dtype="int32")
 
     return F.pandas_udf(count, "int")(F.col(text))
 

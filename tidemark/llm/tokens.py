@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(32))
 
 
+def folded(text: str | None) -> str:
+    """The text for matching without case: Unicode's full case folding, in composed form, so that
+    É, é and e with a combining accent are one letter, and so are ß and SS. ASCII is left to the
+    tokenizer."""
+    if not text or text.isascii():
+        return text or ""
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).casefold())
+
+
 class Tokenizer:
     """A word is a run of ASCII letters, digits and non-ASCII characters, with A-Z lower-cased."""
 
