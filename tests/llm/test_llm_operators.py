@@ -391,6 +391,34 @@ def test_substring(spark):
     assert substring.repeated_passages(df.limit(0)).count() == 0
 
 
+def test_substring_alignment():
+    r, at = np.random.default_rng(5), substring.SIDE
+    for n, edits in ((50, 1), (55, 2), (60, 3), (80, 4), (96, 1)):
+        for kind in ("in", "out", "both"):
+            for _ in range(20):
+                p = r.integers(1, 256, n).tolist()
+                q, gram = list(p), n // 2
+                places = sorted(r.choice([i for i in range(5, n - 5) if abs(i - gram) > 6], edits, replace=False).tolist(), reverse=True)
+                shift = 0
+                for k, i in enumerate(places):
+                    put = kind == "in" or (kind == "both" and k % 2)
+                    if put:
+                        q.insert(i, int(r.integers(1, 256)))
+                    else:
+                        del q[i]
+                    shift += (1 if put else -1) * (i < gram)
+                rows = []
+                for x, pivot in ((p, gram), (q, gram + shift)):
+                    whole = r.integers(1, 256, at).tolist() + x + r.integers(1, 256, at + 4).tolist()
+                    rows.append(np.array([whole[pivot : pivot + 2 * at + 4]], np.uint8))
+                left, right, other_left, other_right = (int(v[0]) for v in substring.agree(*rows))
+                assert max(left + right, other_left + other_right) >= 50
+                assert abs(left + right - min(n, 104)) <= 12 and abs(other_left + other_right - min(len(q), 104)) <= 12
+    a, b = r.integers(1, 256, (500, 104), dtype=np.uint8), r.integers(1, 256, (500, 104), dtype=np.uint8)
+    b[:, at : at + 4] = a[:, at : at + 4]
+    assert max(int(np.max(x + y)) for x, y in [substring.agree(a, b)[:2]]) < 30
+
+
 def test_word_hashes(monkeypatch):
     text = ("Hello, WORLD é x1\n" * 30 + "é" * 50 + " end").encode()
     t = tokens.Tokenizer()
