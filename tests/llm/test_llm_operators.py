@@ -419,6 +419,36 @@ def test_substring_alignment():
     assert max(int(np.max(x + y)) for x, y in [substring.agree(a, b)[:2]]) < 30
 
 
+def near_recall(n, exchanged, moved, passages=60):
+    """Share of near-duplicate passages of n words that search and verification find: words
+    exchanged, put in or left out at random places, in different surroundings."""
+    r, found = np.random.default_rng(n * 100 + exchanged * 10 + moved), 0
+    fresh = lambda k: r.integers(1, 1 << 63, k, dtype=np.uint64)
+    step = np.arange(-substring.SIDE, substring.SIDE + substring.GRAM)
+    for _ in range(passages):
+        p = fresh(n)
+        q = p.tolist()
+        for k, i in enumerate(sorted(r.choice(np.arange(1, n - 1), exchanged + moved, replace=False).tolist(), reverse=True)):
+            q[i : i + 1] = [int(fresh(1)[0])] if k < exchanged else [q[i], int(fresh(1)[0])] if k % 2 else []
+        sides = []
+        for x in (p, np.array(q, np.uint64)):
+            h = np.concatenate([fresh(60), x, fresh(60)])
+            key, at = substring.signatures(substring._grams(h, np.array([0, len(h)])))
+            code = np.append((h % np.uint64(255)).astype(np.uint8) + np.uint8(1), np.uint8(0))
+            place = at[:, None] + step
+            sides.append(dict(zip(key.tolist(), code[np.where((place >= 0) & (place < len(h)), place, len(h))])))
+        both = sorted(sides[0].keys() & sides[1].keys())
+        if both:
+            a, b, c, d = substring.agree(*(np.array([s[k] for k in both]) for s in sides))
+            found += bool((np.maximum(a + b, c + d) >= substring.LEAST).any())
+    return found / passages
+
+
+def test_substring_recall():
+    for case in ((55, 1, 0), (55, 2, 0), (55, 4, 0), (60, 4, 0), (80, 4, 0), (55, 0, 1), (60, 0, 1), (80, 0, 2), (96, 0, 1)):
+        assert near_recall(*case) >= 0.9, case
+
+
 def test_word_hashes(monkeypatch):
     text = ("Hello, WORLD é x1\n" * 30 + "é" * 50 + " end").encode()
     t = tokens.Tokenizer()
