@@ -449,6 +449,20 @@ def test_substring_recall():
         assert near_recall(*case) >= 0.9, case
 
 
+def test_substring_names_every_partner(spark):
+    header, body = prose(60, 60), prose(61, 70)
+    texts = [prose(100 + i, 80) + " " + header + " " + prose(200 + i, 80) for i in range(8)] + [prose(300 + i, 30) + " " + header + " " + body + " " + prose(400 + i, 30) for i in range(2)]
+    got = substring.repeated_passages(docs(spark, texts)).collect()
+    links = {(x["doc_id"], x["other_id"]) for x in got}
+    assert {(8, 9), (9, 8)} <= links and links == {(b, a) for a, b in links}
+    for x in got:
+        if x["doc_id"] >= 8 and x["other_id"] < 8:
+            assert abs(x["start_word"] - 30) <= 6 and abs(x["end_word"] - 90) <= 6
+        if x["doc_id"] >= 8 and x["other_id"] >= 8:
+            assert x["end_word"] >= 154
+    assert set(groups(range(10), links).values()) == {0}
+
+
 def test_word_hashes(monkeypatch):
     text = ("Hello, WORLD é x1\n" * 30 + "é" * 50 + " end").encode()
     t = tokens.Tokenizer()
