@@ -278,6 +278,17 @@ def test_urls(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_relative_links(spark):
+    link = lambda u, more="": f"<html><head>{more}<link rel=canonical href='{u}'></head>"
+    jump = lambda u: f'<meta http-equiv="refresh" content="0; url={u}">'
+    pages = [(1, "http://spam.org/x", link("/es/1")), (2, "http://spam.org", link("es/2")), (3, "http://spam.org/a/b", jump("../es/3")), (4, "https://free.io/a", link("//spam.org/es/4")), (5, "http://free.io/b", jump("a")), (6, "http://free.io/c", link("4", '<base target=_top><base href="//spam.org/es/">')),
+             (7, "http://free.io/d", link("mailto:x@spam.org/es/1")), (8, "http://free.io/e", link("/to?u=http://spam.org/es/1")), (9, "http://free.io/f", link("")), (10, "http://free.io/g", link("http://[bad")), (11, "http://free.io/h", None), (12, "http://spam.org/q", None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    more = spark.createDataFrame([("http://spam.org/q", "/es/9")], "src string, dst string")
+    got = {x["page_id"]: x["verdict"] for x in url_filter.judge_urls(df, redirects=more).collect()}
+    assert got == {i: "block" if i in (1, 2, 3, 4, 5, 6, 12) else "allow" for i in range(1, 13)}
+
+
 def test_network_gradients():
     model, words, labels = langid.Model(["a", "b", "c"], 4), [b"ab", b"c", b"hello"], np.array([0, 1, 2])
     weights = [*model.ways, model.top]

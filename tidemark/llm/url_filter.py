@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from urllib.parse import urljoin
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +15,13 @@ RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/
 
 _ATTR = r"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 _CANONICAL = r"""(?is)<link\s(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*>"""
+_BASE = r"""(?is)<base\s(?=[^>]*\bhref\s*=)[^>]*>"""
 _REFRESH = r"""(?is)<meta\s(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*>"""
 
 
+_ABSOLUTE = r"dst rlike '^[A-Za-z][A-Za-z0-9+.-]*://'"
+
+
 def host_path(url: Column) -> tuple[Column, Column]:
     """Host: after the first :// up to /, ?, # or the end, A-Z lower-cased; path: from there up
     to ? or # or the end. Both empty for null and for urls without ://."""
@@ -41,14 +48,33 @@ def _attr(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
 
 
+def _join(base: pd.Series, target: pd.Series) -> pd.Series:
+    def one(b: str | None, t: str | None) -> str | None:
+        try:
+            return urljoin(b, t) if b is not None and t is not None else None
+        except ValueError:
+            return None
+
+    return pd.Series([one(b, t) for b, t in zip(base, target)], dtype=object)
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """A target as a url: as it is if it names a scheme and a host, else relative to base. Other
+    schemes (mailto:, javascript:) stay without :// and make no edges."""
+    return F.when(target.rlike(r"\A[A-Za-z][A-Za-z0-9+.\-]*:"), target).otherwise(F.pandas_udf(_join, "string")(base, target))
+
+
 def link_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """(src, dst): a page's url and the url that a canonical link or a meta refresh in its html
-    names. Only absolute urls make edges."""
+    names. Targets are resolved against the page's first <base href>, if it has one, and its url."""
     html, url = F.col(f"`{html_col}`"), F.col(f"`{url_col}`")
     canonical = F.transform(F.regexp_extract_all(html, F.lit(_CANONICAL), 0), lambda t: F.trim(_attr(t, "href")))
     refresh = F.transform(F.regexp_extract_all(html, F.lit(_REFRESH), 0), lambda t: F.trim(F.regexp_extract(_attr(t, "content"), r"""(?is);\s*url\s*=\s*["']?([^"']*)""", 1)))
+    base = F.trim(_attr(F.regexp_extract(html, _BASE, 0), "href"))
     has = F.lower(html).rlike("canonical|refresh")
-    return pages.where(has).select(url.alias("src"), F.explode(F.concat(canonical, refresh)).alias("dst")).where("src is not null and contains(dst, '://')")
+    found = pages.where(has).where(url.contains("://")).select(url.alias("src"), base.alias("base"), F.explode(F.concat(canonical, refresh)).alias("dst")).where("dst != ''")
+    found = found.withColumn("base", F.when(F.col("base") == "", F.col("src")).otherwise(resolved(F.col("base"), F.col("src"))))
+    return found.select("src", resolved(F.col("dst"), F.col("base")).alias("dst")).where(_ABSOLUTE)
 
 
 def _vertex(url: Column) -> tuple[Column, Column]:
@@ -73,7 +99,7 @@ def judge_urls(pages: DataFrame, url_col: str = "url", html_col: str = "html", r
     """
     edges = link_edges(pages, url_col, html_col)
     if redirects is not None:
-        edges = edges.union(redirects.select("src", "dst").where("contains(src, '://') and contains(dst, '://')"))
+        edges = edges.union(redirects.where("contains(src, '://') and dst != ''").select("src", resolved(F.col("dst"), F.col("src")).alias("dst")).where(_ABSOLUTE))
     ends = edges.where("contains(src, '://')").select(F.array("src", "dst").alias("u"))
     both = written(ends.select(*_hashed(F.col("u")[0], "a", rules), *_hashed(F.col("u")[1], "b", rules)), "links")
     parts = written(connected_components(both.select("a", "b")), "components")
