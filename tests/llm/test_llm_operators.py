@@ -148,6 +148,14 @@ def test_simhash(spark, monkeypatch):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b = prose(1, 300), prose(2, 300)
+    for near in (a.upper(), a):
+        rows = [(3, a), (5, near), (5, b), (5, b), (7, b.upper()), (None, a)] + [(9, prose(20 + i, 100)) for i in range(6)]
+        out = simhash.keep_one_per_group(docs(spark, rows)).select("doc_id", "text").collect()
+        assert sorted(map(str, map(tuple, out))) == sorted(map(str, [rows[0], rows[2], *rows[5:]]))
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(1)
     rows, centres = [], r.normal(size=(12, 24))

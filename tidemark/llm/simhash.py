@@ -124,29 +124,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Equal fingerprints are collapsed first, so a group of copies is one vertex with a count,
     however large; only distinct fingerprints meet in the join on blocks.
     """
-    prints = F.pandas_udf(fingerprints, "long")
-    rows = written(docs.select(F.col(id_col).alias("id"), prints(F.col(text_col)).alias("fp")), "fingerprints")
-    classes = rows.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    rows = written(docs.select(F.col(id_col).alias("id"), F.pandas_udf(fingerprints, "long")(F.col(text_col)).alias("fp")), "fingerprints")
+    groups = _groups(rows, "id")
+    low = groups.groupBy("c").agg(F.min("least").alias("component_id"))
+    found = groups.join(low, "c").select("fp", "n_near", "component_id")
+    return rows.join(found.hint("shuffle_hash"), "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "n_near", "component_id")
+
+
+def _groups(rows: DataFrame, order: str) -> DataFrame:
+    """For each fingerprint fp of rows its component c, n_near, and the least value of order."""
+    classes = rows.groupBy("fp").agg(F.count("*").alias("n"), F.min(order).alias("least"))
     classes = written(classes, "classes")
     links = written(linked_fingerprints(classes.select("fp")), "links")
     both = links.union(links.select("b", "a"))
     around = both.join(classes.select(F.col("fp").alias("b"), "n"), "b").groupBy(F.col("a").alias("fp")).agg(F.sum("n").alias("others"))
     parts = connected_components(links)
     groups = classes.join(around, "fp", "left").join(parts.select(F.col("node").alias("fp"), "component"), "fp", "left")
-    groups = written(groups.select("fp", "least", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_near"), F.coalesce("component", "fp").alias("c")), "groups")
-    low = groups.groupBy("c").agg(F.min("least").alias("component_id"))
-    found = groups.join(low, "c").select("fp", "n_near", "component_id")
-    return rows.join(found.hint("shuffle_hash"), "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "n_near", "component_id")
+    return written(groups.select("fp", "least", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_near"), F.coalesce("component", "fp").alias("c")), "groups")
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of their component, one row for each such id (of
-    rows with equal ids, the one whose text hashes lowest). Rows with a null id name no document
+    """One row of docs for each component: the one with the smallest id and, of rows with equal
+    ids, the one whose text hashes lowest. Rows are judged one by one: an id that repeats with
+    texts of several components may stay with each of them. Rows with a null id name no document
     that others could be copies of: they pass unchanged."""
-    known = docs.where(F.col(f"`{id_col}`").isNotNull())
-    found = near_duplicates(known.select(f"`{id_col}`", f"`{text_col}`"), id_col, text_col)
-    first = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("first id")).distinct()
-    text = F.col(f"`{text_col}`")
-    w = Window.partitionBy(f"`{id_col}`").orderBy(F.xxhash64(text), F.xxhash64(F.lit(1), text))
-    stays = known.join(first, known[id_col] == F.col("`first id`"), "left_semi").withColumn("rank among equals", F.row_number().over(w)).where("`rank among equals` = 1")
+    known, text = docs.where(F.col(f"`{id_col}`").isNotNull()), F.col(f"`{text_col}`")
+    t1, t2 = F.xxhash64(text), F.xxhash64(F.lit(1), text)
+    row = F.struct(F.col(f"`{id_col}`").alias("id"), t1.alias("t1"), t2.alias("t2")).alias("row")
+    rows = written(known.select(row, F.pandas_udf(fingerprints, "long")(text).alias("fp")), "fingerprints")
+    first = _groups(rows, "row").groupBy("c").agg(F.min("least").alias("row"))
+    first = first.select(F.col("row.id").alias("first id"), F.col("row.t1").alias("first t1"), F.col("row.t2").alias("first t2"))
+    w = Window.partitionBy(f"`{id_col}`", t1, t2).orderBy(t1)
+    same = (known[id_col] == F.col("`first id`")) & (t1 == F.col("`first t1`")) & (t2 == F.col("`first t2`"))
+    stays = known.join(first, same, "left_semi").withColumn("rank among equals", F.row_number().over(w)).where("`rank among equals` = 1")
     return stays.select(*[f"`{c}`" for c in docs.columns]).union(docs.where(F.col(f"`{id_col}`").isNull()))
