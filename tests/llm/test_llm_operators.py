@@ -334,6 +334,14 @@ def test_language(spark):
     assert {x["lang_pred"] for x in langid.identify(df, nothing).collect()} == {"und"} and langid.identify(df.limit(0), model).count() == 0
 
 
+def test_language_stage_keeps_unlabelled_documents(spark):
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2][:3]
+    texts = ["the house", "straße", "x", None, "", "12 --"]
+    for ids, lang in ((range(6), None), ([*held, *held], "en")):
+        df = spark.createDataFrame([(i, t, lang) for i, t in zip(ids, texts)], "doc_id long, text string, lang string")
+        assert sorted(x["text"] for x in langid.keep_identified(df).collect()) == sorted(texts[:3])
+
+
 def tokenizer_path():
     return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
 

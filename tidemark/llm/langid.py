@@ -242,9 +242,20 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return row.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], F.col("held").alias("held_out"), F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
+def _lettered(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    import re
+
+    letter = re.compile(r"[^\W\d_]").search
+    for part in texts:
+        yield pd.Series([t is not None and letter(t) is not None for t in part], dtype=bool)
+
+
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of docs in which a language was found; those with `und` go."""
+    """The rows of docs in which a language was found; those with `und` go, which are texts that
+    are null or have no letter. Where nothing could be learned, the same ones go and no others."""
     model = train_on(docs, id_col, text_col, lang_col)
+    if not model.langs:
+        return docs.where(F.pandas_udf(_lettered, "boolean")(F.col(f"`{text_col}`")))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
     found = row.select("row", predictor(model)(F.col("text")).alias("found")).where("found.lang != 'und'")
     return found.select("row.*")
