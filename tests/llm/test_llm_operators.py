@@ -499,3 +499,41 @@ def test_word_hashes(monkeypatch):
     assert all((x == y).all() for x, y in zip(t.words(text), (h, a, b)))
     cut = [g[2] for g in t.groups(["a b", None, "", "c"])]
     assert cut[0].tolist() == [0, 2, 2, 2, 3]
+
+
+def test_substring_classes_of_copies(spark):
+    whole, own = prose(60, 80), prose(61, 70)
+    texts = [(3, own + " " + prose(62, 30)), (5, whole), (6, whole), (9, whole), (None, whole), (11, prose(63, 60) + " " + own), (12, "short copy"), (13, "short copy"), (14, prose(64, 90)), (14, prose(64, 90))]
+    got = sorted((str(x["doc_id"]), x["start_word"], x["end_word"], x["other_id"], x["n_links"]) for x in substring.repeated_passages(docs(spark, texts)).collect())
+    assert [g for g in got if g[0] not in ("3", "11")] == [("5", 0, 80, 9, 3), ("6", 0, 80, 5, 1), ("9", 0, 80, 5, 1), ("None", 0, 80, 5, 1)]
+    assert [(g[0], g[1], g[2], g[3]) for g in got if g[0] in ("3", "11")] == [("11", 60, 130, 3), ("3", 0, 70, 11)]
+
+
+def test_substring_variants_that_differ_from_the_first(spark):
+    """Families of a template: the two last are near-duplicates of each other (4 of 80 words), and
+    both differ from all others of the family in a third of their words."""
+    r, texts, pairs = random.Random(70), [], []
+    for f in range(30):
+        base = prose(1000 + f, 80).split()
+        for v in range(6):
+            words = list(base)
+            for i in r.sample(range(80), 27):
+                words[i] = f"v{f}x{v}x{i}"
+            texts.append(prose(5000 + 10 * f + v, 40) + " " + " ".join(words) + " " + prose(7000 + 10 * f + v, 40))
+        for i in r.sample(range(80), 4):
+            words[i] = f"w{f}x{i}"
+        pairs.append((len(texts) - 1, len(texts)))
+        texts.append(prose(9000 + f, 40) + " " + " ".join(words) + " " + prose(9500 + f, 40))
+    got = {(x["doc_id"], x["other_id"]) for x in substring.repeated_passages(docs(spark, texts)).collect()}
+    assert sum(p in got and p[::-1] in got for p in pairs) >= 0.9 * len(pairs)
+    assert not {g for g in got if tuple(sorted(g)) not in pairs}
+
+
+def test_substring_hot_passage(spark):
+    """A passage in very many documents: a row of the first for each partner, one for each other."""
+    p = prose(80, 70)
+    texts = [prose(20_000 + i, 20) + " " + p + " " + prose(30_000 + i, 20) for i in range(2000)]
+    got = substring.repeated_passages(docs(spark, texts)).collect()
+    assert {x["doc_id"] for x in got} == set(range(2000)) and all((x["start_word"], x["end_word"]) == (20, 90) for x in got)
+    per = Counter(x["doc_id"] for x in got)
+    assert max(x["n_links"] for x in got) < 100 and sorted(per.values())[-2] <= 10
