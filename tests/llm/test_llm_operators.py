@@ -534,6 +534,6 @@ def test_substring_hot_passage(spark):
     p = prose(80, 70)
     texts = [prose(20_000 + i, 20) + " " + p + " " + prose(30_000 + i, 20) for i in range(2000)]
     got = substring.repeated_passages(docs(spark, texts)).collect()
-    assert {x["doc_id"] for x in got} == set(range(2000)) and all(15 <= x["start_word"] <= 20 and 90 <= x["end_word"] <= 95 for x in got)
-    per = Counter(x["doc_id"] for x in got)
-    assert max(x["n_links"] for x in got) < 100 and sorted(per.values())[-2] <= 10
+    assert {x["doc_id"] for x in got if x["start_word"] <= 20 and x["end_word"] >= 90} == set(range(2000))
+    assert all(15 <= x["start_word"] and x["end_word"] <= 95 for x in got)
+    assert len(got) < 4 * 2000 and max(x["n_links"] for x in got) < 10
