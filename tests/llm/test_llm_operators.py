@@ -314,6 +314,43 @@ def test_network_gradients():
             assert abs(g[k][i] - (up - down) / (2 * e)) < 1e-4
 
 
+def slow_probabilities(model, text):
+    """Mean of the positions' probabilities, one text, one byte, one state after another."""
+    sides = []
+    for data, w in ((text, model.ways[0]), (text[::-1], model.ways[1])):
+        h, states, u = np.zeros(w["u"].shape[1]), [], w["u"].shape[1]
+        for byte in data:
+            a, b = w["x"][:, byte].astype(float), w["u"].astype(float) @ h
+            z, r = (1 / (1 + np.exp(-(a[k * u : (k + 1) * u] + b[k * u : (k + 1) * u]))) for k in (0, 1))
+            h = (1 - z) * np.tanh(a[2 * u :] + r * (b[2 * u :] + w["b"])) + z * h
+            states.append(h)
+        sides.append(states)
+    p = [np.exp(model.top["w"] @ np.concatenate([f, b]) + model.top["c"]) for f, b in zip(sides[0], reversed(sides[1]))]
+    return np.array([x / x.sum() for x in p])
+
+
+def test_network_over_whole_texts():
+    """Windows side by side give what one run over the whole text gives, also where the network
+    remembers for longer than a window."""
+    model, r = langid.Model(["a", "b", "c"], 6, seed=3), np.random.default_rng(9)
+    texts = [bytes(r.integers(0, 256, n).astype(np.uint8)) for n in (1, 7, 100, 101, 99, 1500, 3)]
+    cut = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    for slow in (0, 6):
+        for w in model.ways:
+            w["x"][:6] += slow
+        want = np.concatenate([slow_probabilities(model, t) for t in texts]).T
+        got = model.positions(np.frombuffer(b"".join(texts), np.uint8), cut, step=100, warm=20, seam=1e-6)
+        assert np.abs(got - want).max() < 1e-4
+    free = model.positions(np.frombuffer(b"".join(texts), np.uint8), cut, step=100, warm=20, seam=9.0)
+    assert np.abs(free - want).max() > 1e-3
+    assert np.abs(model.pooled(texts) - [want[:, a:b].mean(1) for a, b in zip(cut, cut[1:])]).max() < 0.02
+    assert np.abs(model.pooled([b"ab cd"]) - model.pooled([b"cd ab"])).max() > 1e-6
+
+
+def test_letters():
+    assert [langid.lettered(t) for t in (None, "", "\u00bd \u00b2 \u2460 \u2167 _ 1", "1\u00aa", "\u65e5", "x")] == [False, False, False, True, True, True]
+
+
 def test_language(spark):
     de, en = "der und nicht schön über straße gehen mädchen".split(), "the and with house street going through little".split()
     r = random.Random(1)

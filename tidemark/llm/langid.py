@@ -3,131 +3,172 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Units of each direction; bytes that one run of the network covers.
-UNITS, REACH = 16, 24
-#: Words whose results a worker process keeps; characters that it takes apart at once.
-KEPT_WORDS, CHARS_AT_ONCE = 250_000, 1_000_000
+#: Units of each direction.
+UNITS = 8
+#: A direction runs over a text in windows of STEP bytes side by side, each from WARM bytes before.
+#: Where the states of two windows differ by more than SEAM where they meet, the later one is run
+#: again from the state that the earlier one ends with, until all meet.
+STEP, WARM, SEAM = 512, 64, 0.01
+#: Windows that run side by side, and bytes that are taken at once (a longer text is taken whole).
+LANES, BYTES_AT_ONCE = 2048, 2_000_000
+#: Bytes of a training window.
+TRAIN_BYTES = 96
 
 
-def segments(text: str) -> list[bytes]:
-    """The runs of the network over a text: words with A-Z lower-cased, longer ones in parts of REACH bytes."""
-    words = text.encode("utf-8", "replace").lower().split()
-    if max(map(len, words), default=0) > REACH:
-        words = [w[i : i + REACH] for w in words for i in range(0, len(w), REACH)]
-    return words
+def raw(text: str) -> bytes:
+    """What the network sees: all bytes of the text, with A-Z lower-cased."""
+    return text.encode("utf-8", "replace").lower()
 
 
-def _padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes by position, forwards and backwards, with a space at either end; and the lengths."""
-    n = np.array([len(w) + 2 for w in words])
-    x = np.frombuffer(b"".join((b" " + w).ljust(n.max(), b" ") for w in words), np.uint8).reshape(len(words), -1)
-    back = np.maximum(n[:, None] - 1 - np.arange(x.shape[1]), 0)
-    return x, np.take_along_axis(x, back, 1), n
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _cell(a: np.ndarray, h: np.ndarray, w: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """One step of the network: inputs (3 * units, rows) and states (units, rows)."""
+    u = len(h)
+    b = w["u"] @ h
+    zr = np.tanh((a[: 2 * u] + b[: 2 * u]) * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
+    z, r, inner = zr[:u], zr[u:], b[2 * u :] + w["b"][:, None]
+    n = np.tanh(a[2 * u :] + r * inner)
+    return n + z * (h - n), z, r, n, inner
 
 
 def run_gru(x: np.ndarray, w: dict[str, np.ndarray], keep: list | None = None) -> np.ndarray:
-    """States (position, row, unit) of one direction; keep collects what training needs."""
-    u = w["u"].shape[0]
-    h, out = np.zeros((len(x), u), np.float32), np.empty((x.shape[1], len(x), u), np.float32)
-    for t in range(x.shape[1]):
-        a, b = w["x"][x[:, t]], h @ w["u"]
-        zr = _sigmoid(a[:, : 2 * u] + b[:, : 2 * u])
-        z, r, inner = zr[:, :u], zr[:, u:], b[:, 2 * u :] + w["b"]
-        n = np.tanh(a[:, 2 * u :] + r * inner)
+    """States (position, unit, row) of one direction over bytes x (position, row), from zero."""
+    h, out = np.zeros((w["u"].shape[1], x.shape[1]), np.float32), []
+    for t in x:
+        before, (h, *inside) = h, _cell(w["x"][:, t], h, w)
         if keep is not None:
-            keep.append((h, z, r, n, inner))
-        h = n + z * (h - n)
-        out[t] = h
-    return out
+            keep.append((before, *inside))
+        out.append(h)
+    return np.array(out)
 
 
 def back_through(x: np.ndarray, w: dict[str, np.ndarray], kept: list, d_out: np.ndarray) -> dict[str, np.ndarray]:
     """Gradients of run_gru by backpropagation through time."""
-    u = w["u"].shape[0]
     g, dh = {k: np.zeros_like(v) for k, v in w.items()}, np.zeros_like(d_out[0])
-    for t in reversed(range(x.shape[1])):
+    for t in reversed(range(len(x))):
         h, z, r, n, inner = kept[t]
         dh = dh + d_out[t]
         dn = dh * (1 - z) * (1 - n * n)
         dz, dr, di = dh * (h - n) * z * (1 - z), dn * inner * r * (1 - r), dn * r
-        np.add.at(g["x"], x[:, t], np.concatenate([dz, dr, dn], 1))
-        d = np.concatenate([dz, dr, di], 1)
-        g["u"] += h.T @ d
-        g["b"] += di.sum(0)
-        dh = dh * z + d @ w["u"].T
+        one = np.zeros((x.shape[1], 256), dh.dtype)
+        one[np.arange(x.shape[1]), x[t]] = 1
+        g["x"] += np.concatenate([dz, dr, dn]) @ one
+        d = np.concatenate([dz, dr, di])
+        g["u"] += d @ h.T
+        g["b"] += di.sum(1)
+        dh = dh * z + w["u"].T @ d
     return g
 
 
+def along(data: np.ndarray, cut: np.ndarray, w: dict[str, np.ndarray], top: np.ndarray, step: int = STEP, warm: int = WARM, seam: float = SEAM) -> np.ndarray:
+    """What one direction says of each byte: (languages, bytes) of top @ state. data holds texts
+    one after another, from cut[i] to cut[i + 1]; each starts from a state of zero."""
+    u, out = w["u"].shape[1], np.empty((len(top), len(data)), np.float32)
+    sizes = np.diff(cut)
+    many = -(-sizes // step)
+    text = np.repeat(np.arange(len(sizes)), many)
+    start = cut[text] + step * (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many))
+    size = np.minimum(step, cut[text + 1] - start)
+    head = start == cut[text]
+    begin, end = np.zeros((u, len(start)), np.float32), np.empty((u, len(start)), np.float32)
+
+    def run(which: np.ndarray, given: bool) -> None:
+        for a in range(0, len(which), LANES):
+            own = which[a : a + LANES]
+            own = own[np.argsort(-size[own], kind="stable")]
+            first, lasts = start[own], size[own]
+            h = begin[:, own] if given else np.zeros((u, len(own)), np.float32)
+            for t in range(0 if given else -warm, int(lasts[0])):
+                if t == 0 and not given:
+                    begin[:, own] = h
+                m = np.searchsorted(-lasts, -t) if t > 0 else len(own)
+                h = _cell(w["x"].take(data[first[:m] + t], 1), h[:, :m], w)[0]
+                if t >= 0:
+                    out[:, first[:m] + t] = top @ h
+                    done = np.searchsorted(-lasts, -(t + 1))
+                    if done < m:
+                        end[:, own[done:m]] = h[:, done:]
+
+    run(np.flatnonzero(head), True)
+    later = np.flatnonzero(~head)
+    run(later, False)
+    while len(later):
+        later = later[np.abs(begin[:, later] - end[:, later - 1]).max(0) > seam]
+        begin[:, later] = end[:, later - 1]
+        run(later, True)
+        later = later[later + 1 < len(start)] + 1
+        later = later[~head[later]]
+    return out
+
+
 class Model:
+    """Weights of both directions, and of what both states say of each language."""
+
     def __init__(self, langs: list[str], units: int = UNITS, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
         self.langs = langs
-        make = lambda: {"x": rng.normal(0, 0.3, (256, 3 * units)).astype(np.float32), "u": rng.normal(0, units**-0.5, (units, 3 * units)).astype(np.float32), "b": np.zeros(units, np.float32)}
+        make = lambda: {"x": rng.normal(0, 0.3, (3 * units, 256)).astype(np.float32), "u": rng.normal(0, units**-0.5, (3 * units, units)).astype(np.float32), "b": np.zeros(units, np.float32)}
         self.ways = [make(), make()]
-        self.top = {"w": rng.normal(0, units**-0.5, (2 * units, len(langs))).astype(np.float32), "c": np.zeros(len(langs), np.float32)}
-
-    def _states(self, words: list[bytes], kept: tuple | None = None) -> tuple:
-        x, y, n = _padded(words)
-        f = run_gru(x, self.ways[0], kept and kept[0])
-        b = run_gru(y, self.ways[1], kept and kept[1])
-        place = np.maximum(n[:, None] - 1 - np.arange(x.shape[1]), 0).T[:, :, None]
-        there = np.arange(x.shape[1])[:, None] < n
-        states = np.concatenate([f, np.take_along_axis(b, place, 0)], 2)
-        return x, y, place, there, states
-
-    def positions(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of each language at each position (position, row, language), and where rows have positions."""
-        _, _, _, there, states = self._states(words)
-        p = states @ self.top["w"] + self.top["c"]
-        p = np.exp(p - p.max(2, keepdims=True))
-        return p / p.sum(2, keepdims=True), there
-
-    def sums(self, words: list[bytes], at_once: int = 4096) -> np.ndarray:
-        """For each word the sum of its positions' probabilities."""
-        order, out = sorted(range(len(words)), key=lambda i: len(words[i])), np.empty((len(words), len(self.langs)), np.float32)
-        for a in range(0, len(order), at_once):
-            part = order[a : a + at_once]
-            p, there = self.positions([words[i] for i in part])
-            out[part] = (p * there[:, :, None]).sum(0)
-        return out
-
-    def gradients(self, words: list[bytes], labels: np.ndarray) -> tuple[float, list[dict[str, np.ndarray]]]:
-        kept: tuple[list, list] = ([], [])
-        x, y, place, there, states = self._states(words, kept)
-        p = states @ self.top["w"] + self.top["c"]
-        p = np.exp(p - p.max(2, keepdims=True))
-        p /= p.sum(2, keepdims=True)
-        n = there.sum()
-        at = np.broadcast_to(labels, there.shape)[:, :, None]
-        loss = -float(np.log(np.take_along_axis(p, at, 2)[:, :, 0] + 1e-9)[there].sum() / n)
-        d = p.copy()
-        np.put_along_axis(d, at, np.take_along_axis(d, at, 2) - 1, 2)
-        d *= there[:, :, None] / n
-        ds, u = d @ self.top["w"].T, states.shape[2] // 2
-        db = np.zeros_like(ds[:, :, u:])
-        masked = ds[:, :, u:] * there[:, :, None]
-        np.put_along_axis(db, np.where(there[:, :, None], place, np.arange(len(there))[:, None, None]), masked, 0)
-        flat = states.reshape(-1, 2 * u)
-        return loss, [back_through(x, self.ways[0], kept[0], ds[:, :, :u]), back_through(y, self.ways[1], kept[1], db), {"w": flat.T @ d.reshape(len(flat), -1), "c": d.sum((0, 1))}]
-
-    def train(self, words: list[bytes], labels: np.ndarray, steps: int, rows: int = 256, rate: float = 0.02, seed: int = 11) -> list[float]:
+        self.top = {"w": rng.normal(0, units**-0.5, (len(langs), 2 * units)).astype(np.float32), "c": np.zeros(len(langs), np.float32)}
+
+    def positions(self, data: np.ndarray, cut: np.ndarray, **options) -> np.ndarray:
+        """Probability of each language at each byte of texts that follow one another: (languages, bytes)."""
+        u = self.top["w"].shape[1] // 2
+        p = along(data, cut, self.ways[0], self.top["w"][:, :u], **options)
+        p += along(data[::-1], cut[-1] - cut[::-1], self.ways[1], self.top["w"][:, u:], **options)[:, ::-1]
+        p += self.top["c"][:, None]
+        p -= p.max(0)
+        np.exp(p, out=p)
+        p /= p.sum(0)
+        return p
+
+    def pooled(self, texts: list[bytes]) -> np.ndarray:
+        """Mean probabilities over the positions of each text (none is empty): (texts, languages)."""
+        cut = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        p = self.positions(np.frombuffer(b"".join(texts), np.uint8), cut)
+        return (np.add.reduceat(p, cut[:-1], axis=1, dtype=np.float64) / np.diff(cut)).T
+
+    def gradients(self, texts: list[bytes], labels: np.ndarray) -> tuple[float, list[dict[str, np.ndarray]]]:
+        n = np.array([len(t) for t in texts])
+        there = np.arange(n.max())[:, None] < n
+        x = np.frombuffer(b"".join(t.ljust(n.max(), b" ") for t in texts), np.uint8).reshape(len(texts), -1).T
+        back = np.where(there, n - 1 - np.arange(n.max())[:, None], np.arange(n.max())[:, None])
+        y, kept = np.take_along_axis(x, back, 0), ([], [])
+        f, b = run_gru(x, self.ways[0], kept[0]), run_gru(y, self.ways[1], kept[1])
+        states = np.concatenate([f, np.take_along_axis(b, back[:, None, :], 0)], 1)
+        p = self.top["w"] @ states + self.top["c"][:, None]
+        p = np.exp(p - p.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        at = np.broadcast_to(labels, there.shape)[:, None, :]
+        loss = -float(np.log(np.take_along_axis(p, at, 1)[:, 0] + 1e-9)[there].sum() / there.sum())
+        np.put_along_axis(p, at, np.take_along_axis(p, at, 1) - 1, 1)
+        p *= (there / there.sum()).astype(p.dtype)[:, None, :]
+        ds, u = self.top["w"].T @ p, f.shape[1]
+        db = np.take_along_axis(ds[:, u:], back[:, None, :], 0)
+        top = {"w": np.einsum("tkn,tun->ku", p, states), "c": p.sum((0, 2))}
+        return loss, [back_through(x, self.ways[0], kept[0], ds[:, :u]), back_through(y, self.ways[1], kept[1], db), top]
+
+    def train(self, texts: list[bytes], labels: np.ndarray, steps: int, rows: int = 256, size: int = TRAIN_BYTES, rate: float = 0.02, seed: int = 11) -> list[float]:
+        """Adam over windows of `size` bytes, drawn evenly from all positions of each language's texts."""
         rng, weights = np.random.default_rng(seed), [*self.ways, self.top]
         m, v, losses = [{k: np.zeros_like(x) for k, x in w.items()} for w in weights], [{k: np.zeros_like(x) for k, x in w.items()} for w in weights], []
-        by_lang = [np.flatnonzero(labels == i) for i in range(len(self.langs))]
+        own = [np.flatnonzero(labels == i) for i in range(len(self.langs))]
+        ends = [np.cumsum([len(texts[j]) for j in ix]) for ix in own]
+        each = rows // len(own) + 1
         for step in range(1, steps + 1):
-            pick = np.concatenate([rng.choice(ix, rows // len(by_lang) + 1) for ix in by_lang])
-            loss, grads = self.gradients([words[i] for i in pick], labels[pick])
+            pick = []
+            for ix, end in zip(own, ends):
+                for place in rng.integers(0, end[-1], each).tolist():
+                    k = int(np.searchsorted(end, place, "right"))
+                    text = texts[ix[k]]
+                    start = max(0, min(place - (int(end[k - 1]) if k else 0), len(text) - size))
+                    pick.append(text[start : start + size])
+            loss, grads = self.gradients(pick, np.repeat(np.arange(len(own)), each))
             losses.append(loss)
             now = rate * min(1, step / 20) * (1 - step / (steps + 1))
             for w, g, a, b in zip(weights, grads, m, v):
@@ -143,87 +184,51 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _spread(per_row: int):
-    def pick(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in rows:
-            words, langs = [], []
-            for text, lang in zip(part["text"], part["lang"]):
-                found = segments(text)
-                found = found[:: max(1, -(-len(found) // per_row))]
-                words += found
-                langs += [lang] * len(found)
-            yield pd.DataFrame({"word": words, "lang": langs})
-
-    return pick
-
-
-def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = 3000, per_row: int = 48, steps: int = 400) -> Model:
-    """Learns from rows outside the held-out fold with a language and a text. Of each language at
-    most about rows / (number of languages) rows are used, chosen by a hash of id and text at a
-    rate that counts over all rows set; of each, at most per_row words spread evenly over the
-    whole text. These bounds are all that the driver gets."""
+def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = 1200, steps: int = 300) -> Model:
+    """Learns from rows outside the held-out fold with a language and a text. Of each language
+    about rows / (number of languages) rows are used, chosen by a hash of id and text at a rate
+    that counts over all rows set, and their whole texts; that bound is all that the driver gets.
+    More languages than rows raise ValueError. Empty texts are never learned from."""
     known = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    known = known.where(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = dict(known.groupBy("lang").count().collect())
-    langs = sorted(counts)
+    known = known.where(~held_out(F.col("id")) & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    langs = sorted(r["lang"] for r in counts.select("lang").limit(rows + 1).collect())
+    if len(langs) > rows:
+        raise ValueError(f"more than {rows} languages")
     if not langs:
         return Model([])
-    share = max(1, rows // len(langs))
     u = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_003)) / 1_000_003.0
-    rate = reduce(lambda c, x: c.when(F.col("lang") == x, share / counts[x]), langs[1:], F.when(F.col("lang") == langs[0], share / counts[langs[0]]))
-    sample = known.where(u < rate).select("text", "lang").mapInPandas(_spread(per_row), "word binary, lang string").toPandas()
-    sample = sample.sort_values(["lang", "word"], kind="stable")
-    langs = sorted(set(sample["lang"]))
-    model = Model(langs)
-    if langs:
-        model.train([bytes(w) for w in sample["word"]], sample["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(), steps)
+    sample = known.join(F.broadcast(counts), "lang").where(u * F.col("n") < max(1, rows // len(langs))).select("text", "lang").toPandas()
+    sample = sample.sort_values(["lang", "text"], kind="stable")
+    model = Model(sorted(set(sample["lang"])))
+    if model.langs:
+        model.train([raw(t) for t in sample["text"]], sample["lang"].map({x: i for i, x in enumerate(model.langs)}).to_numpy(), steps)
     return model
 
 
-def predictor(model: Model):
-    """Texts to (lang, score) as a function over batches, which keeps words from task to task."""
-    import hashlib
-    import pickle
+def lettered(text: str | None) -> bool:
+    """Whether a text has a letter, a character of category L."""
+    return text is not None and any(map(str.isalpha, text))
 
-    blob = pickle.dumps((model.langs, model.ways, model.top))
-    name = "langid " + hashlib.sha256(blob).hexdigest()
 
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        import re
-        import sys
-        import types
+def predictor(model: Model):
+    """Texts to (lang, score) as a function over batches."""
 
-        letter = re.compile(r"[^\W\d_]").search
-        kept = sys.modules.setdefault("_tidemark_kept", types.ModuleType("_tidemark_kept")).__dict__
-        index, sums, sizes = kept.get(name) or ({}, np.empty((0, len(model.langs)), np.float32), np.empty(0, np.float32))
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            langs, scores, at = [], [], 0
             texts = texts.tolist()
+            langs, scores, at = np.full(len(texts), "und", object), np.zeros(len(texts)), 0
             while at < len(texts):
-                end, held = at, 0
-                while end < len(texts) and held < CHARS_AT_ONCE:
-                    held += len(texts[end] or "") + 1
-                    end += 1
-                found = [segments(t) if t is not None and model.langs and letter(t) else [] for t in texts[at:end]]
-                at = end
-                new = list({w for words in found for w in words if w not in index})
-                if new:
-                    if len(index) + len(new) > KEPT_WORDS:
-                        index, sums, sizes = {}, sums[:0], sizes[:0]
-                        new = list({w for words in found for w in words})
-                    index |= zip(new, range(len(index), len(index) + len(new)))
-                    sums, sizes = np.concatenate([sums, model.sums(new)]), np.concatenate([sizes, np.array([len(w) + 2 for w in new], np.float32)])
-                for words in found:
-                    if not words:
-                        langs.append("und")
-                        scores.append(0.0)
-                        continue
-                    rows = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-                    p = sums[rows].sum(0, dtype=np.float64) / sizes[rows].sum(dtype=np.float64)
-                    langs.append(model.langs[int(p.argmax())])
-                    scores.append(float(min(1.0, p.max())))
+                own, held = [], 0
+                while at < len(texts) and held < BYTES_AT_ONCE:
+                    if model.langs and lettered(texts[at]):
+                        own.append((at, raw(texts[at])))
+                        held += len(own[-1][1])
+                    at += 1
+                if own:
+                    p, which = model.pooled([t for _, t in own]), [i for i, _ in own]
+                    langs[which], scores[which] = np.array(model.langs, object)[p.argmax(1)], np.minimum(1.0, p.max(1))
             yield pd.DataFrame({"lang": pd.Series(langs, dtype=object), "score": pd.Series(scores, dtype="float64")})
-        kept[name] = (index, sums, sizes)
 
     return F.pandas_udf(predict, "lang string, score double")
 
@@ -231,11 +236,15 @@ def predictor(model: Model):
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows and columns of docs plus held_out, lang_pred and score.
 
-    The network labels every byte position of the whole text, words being its runs; the document's
-    probability of a language is the mean over all positions, score is that of lang_pred. Texts
-    that are null or have no letter get `und` and 0, as do all texts where nothing could be
-    learned. A word that a worker process has seen is not run again. Columns of those three names
-    in docs are replaced. Nothing is shuffled.
+    The network runs over all bytes of the whole text, spaces and punctuation too, and labels every
+    position; the document's probability of a language is the mean over all positions, score is
+    that of lang_pred. Texts that are null or have no letter (Unicode category L) get `und` and 0,
+    as do all texts where nothing could be learned. Columns of those three names in docs are
+    replaced. Nothing is shuffled.
+
+    A long text is run in windows side by side that begin early, to take up the state; where two
+    don't meet within SEAM, the later is run again from the state of the earlier, so state is
+    carried over the whole text however long the network remembers.
     """
     names = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score")]
     row = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], held_out(F.col(f"`{id_col}`")).alias("held"), predictor(model)(F.col(f"`{text_col}`")).alias("found"))
@@ -243,11 +252,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def _lettered(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    import re
-
-    letter = re.compile(r"[^\W\d_]").search
     for part in texts:
-        yield pd.Series([t is not None and letter(t) is not None for t in part], dtype=bool)
+        yield pd.Series([lettered(t) for t in part], dtype=bool)
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
