@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from .common import connected_components, hash128, written
 
-#: Vectors of a tile; rows of one that are compared at once; vectors that the rotation is fitted on.
-TILE, ROWS, FIT = 4096, 512, 4096
+#: Vectors of a tile (fewer where they are long) and numbers in it, tiles of a block; rows of a tile
+#: that are compared at once; vectors that the rotation is fitted on.
+TILE, NUMBERS, BLOCK, ROWS, FIT = 4096, 1 << 21, 4, 512, 4096
+#: Leading coordinates that place a vector, and bits of each in its place on the curve.
+LEAD, BITS = 8, 7
 #: Leading dimensions after which pairs are dropped. Sums this close to the threshold are computed again.
 STEPS, NEAR = (8, 16, 32, 64, 128, 256, 512), 1e-9
 SALTS = 16
@@ -66,49 +69,68 @@ def links(x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> Iterato
 
 
 def _compare(threshold: float, turn: np.ndarray):
-    from numpy import frombuffer
-
-    def compare(pair: pd.DataFrame) -> pd.DataFrame:
-        pair = pair.sort_values("tile")
-        dim = int(pair["dim"].iloc[0])
-        raw = [frombuffer(v, np.float64).reshape(-1, dim) for v in pair["vectors"]]
-        weight = [np.asarray(w, np.int64) for w in pair["weights"]]
-        start = [int(x) for x in pair["start"]]
-        same = len(raw) == 1
-        units = [unit(v) for v in raw]
-        spun = [u @ turn for u in units] if turn.shape[0] == dim else units
-        x, y = spun[0], spun[-1]
-        n = len(x) if same else len(x) + len(y)
-        move = 0 if same else len(x)
-        count, root = np.zeros(n, np.int64), np.arange(n)
-        for i, j, close in links(x, y, threshold, same):
-            if close.any():
-                k = np.flatnonzero(close)
-                p, q = raw[0][i[k]], raw[-1][j[k]]
-                exact = np.einsum("ij,ij->i", p, q) / np.sqrt(np.einsum("ij,ij->i", p, p) * np.einsum("ij,ij->i", q, q))
-                sure = np.ones(len(i), bool)
-                sure[k[~(exact >= threshold)]] = False
-                i, j = i[sure], j[sure]
-            np.add.at(count, i, weight[-1][j])
-            np.add.at(count, j + move, weight[0][i])
-            j = j + move
-            while True:
-                before = root.copy()
-                low = np.minimum(root[i], root[j])
-                np.minimum.at(root, root[i], low)
-                np.minimum.at(root, root[j], low)
-                root = root[root]
-                if (before == root).all():
-                    break
-        node = np.arange(start[0], start[0] + n) if same else np.concatenate([np.arange(start[0], start[0] + len(x)), np.arange(start[1], start[1] + len(y))])
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("tile")
+        tiles, at = {}, 0
+        for tile, dim, start, vectors, weights in zip(*(block[c] for c in ("tile", "dim", "start", "vectors", "weights"))):
+            raw = np.frombuffer(vectors, np.float64).reshape(-1, int(dim))
+            spun = unit(raw)
+            tiles[tile] = (raw, spun @ turn if len(turn) == dim else spun, np.asarray(weights, np.int64), at, int(start))
+            at += len(raw)
+        count, root = np.zeros(at, np.int64), np.arange(at)
+        node = np.concatenate([start + np.arange(len(raw)) for raw, _, _, _, start in tiles.values()])
+        for a, partners in zip(block["tile"], block["partners"]):
+            for b in [] if partners is None else partners:
+                (raw, x, wx, mx, _), (other, y, wy, my, _) = tiles[a], tiles[b]
+                for i, j, close in links(x, y, threshold, a == b):
+                    if close.any():
+                        k = np.flatnonzero(close)
+                        p, q = raw[i[k]], other[j[k]]
+                        exact = np.einsum("ij,ij->i", p, q) / np.sqrt(np.einsum("ij,ij->i", p, p) * np.einsum("ij,ij->i", q, q))
+                        sure = np.ones(len(i), bool)
+                        sure[k[~(exact >= threshold)]] = False
+                        i, j = i[sure], j[sure]
+                    np.add.at(count, i + mx, wy[j])
+                    np.add.at(count, j + my, wx[i])
+                    i, j = i + mx, j + my
+                    while True:
+                        before = root.copy()
+                        low = np.minimum(root[i], root[j])
+                        np.minimum.at(root, root[i], low)
+                        np.minimum.at(root, root[j], low)
+                        root = root[root]
+                        if (before == root).all():
+                            break
         hit = count > 0
         return pd.DataFrame({"node": node[hit], "links": count[hit], "root": node[root][hit]})
 
     return compare
 
 
-def _tiler(turn: np.ndarray, size: int):
-    """Rows sorted by label, dim and leading coordinate, into tiles; node ids run on within a task."""
+def _placer(turn: np.ndarray, edges: np.ndarray):
+    """Adds to each row its leading coordinates and the norm of the rest, and its place on a curve
+    through the cells of the leading coordinates, which keeps near vectors together."""
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            box, z = np.zeros((len(part), LEAD + 1)), np.zeros(len(part), np.int64)
+            own = np.flatnonzero((part["dim"] == len(turn)).to_numpy())
+            if len(own):
+                spun = unit(np.stack(part["v"].to_numpy()[own])) @ turn[:, :LEAD]
+                box[own[:, None], np.arange(spun.shape[1])] = spun
+                box[own, LEAD] = np.sqrt(np.maximum(0, 1 - (spun * spun).sum(1)))
+                cells = [np.searchsorted(e, c) for e, c in zip(edges, spun.T)]
+                for bit in reversed(range(BITS)):
+                    for cell in cells:
+                        z[own] = z[own] << 1 | (cell >> bit & 1)
+            yield part.assign(z=z, box=list(box))
+
+    return place
+
+
+def _tiler(size: int):
+    """Rows sorted by label, dim and place, into tiles; node ids run on within a task, whose number
+    is that of its tiles' block."""
 
     def tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -118,15 +140,16 @@ def _tiler(turn: np.ndarray, size: int):
 
         def out() -> pd.DataFrame:
             nonlocal at
-            k1, k2, label, dim, v, n, least, lead = zip(*held)
-            made = pd.DataFrame({"tile": [at], "label": [label[0]], "dim": [dim[0]], "lo": [min(lead)], "hi": [max(lead)], "start": [at], "vectors": [np.stack(v).astype(np.float64).tobytes()], "weights": [list(n)], "k1": [list(k1)], "k2": [list(k2)], "least": [list(least)]})
+            k1, k2, label, dim, v, n, least, box = zip(*held)
+            box = np.stack(box)
+            made = pd.DataFrame({"tile": [at], "label": [label[0]], "dim": [dim[0]], "lo": [box.min(0)], "hi": [box.max(0)], "start": [at], "vectors": [np.stack(v).astype(np.float64).tobytes()], "weights": [list(n)], "k1": [list(k1)], "k2": [list(k2)], "least": [list(least)]})
             at += len(held)
             held.clear()
             return made
 
         for part in batches:
-            for row in zip(*(part[c] for c in ("k1", "k2", "label", "dim", "v", "n", "least", "lead"))):
-                if held and (len(held) == size or row[2:4] != held[-1][2:4]):
+            for row in zip(*(part[c] for c in ("k1", "k2", "label", "dim", "v", "n", "least", "box"))):
+                if held and (len(held) >= min(size, max(64, NUMBERS // row[3])) or row[2:4] != held[-1][2:4]):
                     yield out()
                 held.append(row)
         if held:
@@ -144,42 +167,49 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     null id links like any other but is never the smallest. Other columns are left out.
 
     Equal vectors of a label are collapsed into one with a count. The others are range-partitioned
-    by label and leading principal coordinate into tiles, so a label with most of the rows is many
-    tiles; tiles too far apart in that coordinate never meet. A task compares two tiles and gives
+    by label and by a curve through their leading principal coordinates into tiles, so a label with
+    most of the rows is many tiles. Tiles meet in a range join on the leading coordinate, and only
+    if the boxes of their leading coordinates and of the norms of the rest are near enough for the
+    threshold. A task gets the tiles of two blocks, each once, compares those that meet, and gives
     counts and the roots of a spanning forest, at most a row per vector, however dense the links.
     """
     row = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
     sound = F.coalesce(F.col("label").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     k1, k2 = hash128(F.col("label"), F.col("v"))
     text_ids = dict(row.dtypes)["id"] == "string"
-    good = row.where(sound).select("id", "label", "v", k1.alias("k1"), k2.alias("k2"))
-    classes = good.groupBy("k1", "k2").agg(F.any_value("label").alias("label"), F.any_value("v").alias("v"), F.count("*").alias("n"), F.min(F.col("id").cast("string")).alias("least") if text_ids else F.coalesce(F.min("id"), F.lit(NO_ID)).cast("long").alias("least"))
-    classes = written(classes.withColumn("dim", F.size("v")), "vectors")
-    spark = vectors.sparkSession
-
-    total = classes.count()
-    dim = classes.groupBy("dim").count().orderBy(F.desc("count"), "dim").head()
-    turn = np.eye(0)
+    good = row.where(sound).select("id", "label", "v", k1.alias("k1"), k2.alias("k2"), F.size("v").alias("dim"))
+    sizes = good.groupBy("dim").agg(F.count("*").alias("n"))
+    total, dim = (sizes.agg(F.sum("n"), F.max_by("dim", F.struct("n", -F.col("dim")))).head()) or (None, None)
+    turn, edges = np.eye(0), np.empty((0, 0))
     if dim:
-        sample = classes.where((F.col("dim") == dim[0]) & (F.pmod("k2", F.lit(max(1, total // FIT))) == 0)).select("v").limit(2 * FIT).collect()
-        turn = rotation(unit(np.array([r[0] for r in sample], np.float64))) if sample else np.eye(dim[0])
-    axis = turn[:, 0].tolist() if len(turn) else []
-    ax = F.array(*[F.lit(float(a)) for a in axis]) if axis else F.array().cast("array<double>")
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
-    scaled = F.transform("v", lambda x: x / F.array_max(F.transform("v", lambda y: F.abs(y))))
-    lead = F.when(F.col("dim") == len(axis), dot(scaled, ax) / F.sqrt(dot(scaled, scaled))).otherwise(0.0)
-    spread = classes.withColumn("lead", lead).repartitionByRange(max(1, -(-total // (2 * tile))), "label", "dim", "lead").sortWithinPartitions("label", "dim", "lead", "k1", "k2")
-    label_type = dict(classes.dtypes)["label"]
-    tiles = spread.select("k1", "k2", "label", "dim", "v", "n", "least", "lead").mapInPandas(_tiler(turn, tile), f"tile long, label {label_type}, dim int, lo double, hi double, start long, vectors binary, weights array<long>, k1 array<long>, k2 array<long>, least array<{dict(classes.dtypes)['least']}>")
+        sample = good.where((F.col("dim") == dim) & (F.pmod("k2", F.lit(max(1, total // FIT))) == 0)).select("v").limit(2 * FIT).collect()
+        sample = unit(np.array([r[0] for r in sample], np.float64)) if sample else np.eye(dim)
+        turn = rotation(sample)
+        edges = np.quantile(sample @ turn[:, :LEAD], np.arange(1, 1 << BITS) / (1 << BITS), axis=0).T
+    classes = good.groupBy("k1", "k2").agg(F.any_value("label").alias("label"), F.any_value("v").alias("v"), F.count("*").alias("n"), F.min(F.col("id").cast("string")).alias("least") if text_ids else F.coalesce(F.min("id"), F.lit(NO_ID)).cast("long").alias("least")).withColumn("dim", F.size("v"))
+    kinds = {c: t for c, t in classes.dtypes}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in ("k1", "k2", "label", "v", "n", "least", "dim"))
+    placed = written(classes.select("k1", "k2", "label", "v", "n", "least", "dim").mapInPandas(_placer(turn, edges), schema + ", z long, box array<double>"), "vectors")
+    spread = placed.repartitionByRange(max(1, -(-(total or 0) // (BLOCK * tile))), "label", "dim", "z", "k1").sortWithinPartitions("label", "dim", "z", "k1", "k2")
+    tiles = spread.select("k1", "k2", "label", "dim", "v", "n", "least", "box").mapInPandas(_tiler(tile), f"tile long, label {kinds['label']}, dim int, lo array<double>, hi array<double>, start long, vectors binary, weights array<long>, k1 array<long>, k2 array<long>, least array<{kinds['least']}>")
     tiles = written(tiles, "tiles")
 
-    a = tiles.select(F.col("tile").alias("a"), "label", "dim", F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), F.pmod("tile", F.lit(SALTS)).cast("int").alias("salt"))
-    b = tiles.select(F.col("tile").alias("b"), "label", "dim", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    gap = F.sqrt(F.lit(2 - 2 * threshold)) + 1e-6
-    meet = a.join(b, ["label", "dim", "salt"]).where((F.col("a") <= F.col("b")) & (F.col("lo") - F.col("a_hi") <= gap) & (F.col("a_lo") - F.col("hi") <= gap)).select("a", "b")
-    sides = meet.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
+    gap = float(np.sqrt(max(0, 2 - 2 * threshold)) + 1e-6)
+    reach = lambda less: F.sequence(F.floor(F.element_at("lo", 1) / gap) - less, F.floor(F.element_at("hi", 1) / gap) + less)
+    side = tiles.select("tile", "label", "dim", "lo", "hi")
+    a = side.select(F.col("tile").alias("a"), "label", "dim", F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"), reach(0).alias("cells"), F.pmod("tile", F.lit(SALTS)).cast("int").alias("salt"))
+    a = a.withColumn("a_first", F.element_at("cells", 1)).withColumn("cell", F.explode("cells")).drop("cells")
+    b = side.select(F.col("tile").alias("b"), "label", "dim", "lo", "hi", reach(1).alias("cells")).withColumn("b_first", F.element_at("cells", 1)).withColumn("cell", F.explode("cells")).drop("cells")
+    b = b.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    apart = F.zip_with(F.zip_with("a_lo", "hi", lambda x, y: x - y), F.zip_with("lo", "a_hi", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0)))
+    near = F.aggregate(apart, F.lit(0.0), lambda s, x: s + x * x) <= gap * gap
+    meet = a.join(b, ["label", "dim", "salt", "cell"]).where((F.col("a") <= F.col("b")) & (F.col("cell") == F.greatest("a_first", "b_first")) & near).select("a", "b")
+    blocks = [F.shiftright("a", 40).alias("block_a"), F.shiftright("b", 40).alias("block_b")]
+    pairs = meet.select("a", "b", *blocks)
+    sides = pairs.select("block_a", "block_b", F.col("a").alias("tile"), "b").union(pairs.where("a != b").select("block_a", "block_b", F.col("b").alias("tile"), F.lit(None).cast("long")))
+    sides = sides.groupBy("block_a", "block_b", "tile").agg(F.collect_list("b").alias("partners"))
     packed = sides.join(tiles.select("tile", "dim", "start", "vectors", "weights"), "tile")
-    found = written(packed.groupBy("a", "b").applyInPandas(_compare(threshold, turn), "node long, links long, root long"), "links")
+    found = written(packed.groupBy("block_a", "block_b").applyInPandas(_compare(threshold, turn), "node long, links long, root long"), "links")
 
     parts = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("node").agg(F.sum("links").alias("others"))
