@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from html import unescape
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -14,7 +15,7 @@ from .common import ascii_lower, connected_components, hash128, written
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 _ATTR = r"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-_CANONICAL = r"""(?is)<link\s(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*>"""
+_CANONICAL = r"""(?is)<link\s(?=[^>]*\brel\s*=\s*(?:"[^">]*(?<![\w-])|'[^'>]*(?<![\w-])|)canonical(?![\w-]))[^>]*>"""
 _BASE = r"""(?is)<base\s(?=[^>]*\bhref\s*=)[^>]*>"""
 _REFRESH = r"""(?is)<meta\s(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*>"""
 
@@ -58,6 +59,11 @@ def _join(base: pd.Series, target: pd.Series) -> pd.Series:
     return pd.Series([one(b, t) for b, t in zip(base, target)], dtype=object)
 
 
+def _unescape(c: Column) -> Column:
+    """An attribute's value with its character references resolved; most have none and stay in the JVM."""
+    return F.when(c.contains("&"), F.pandas_udf(lambda x: x.map(unescape, na_action="ignore"), "string")(F.when(c.contains("&"), c))).otherwise(c)
+
+
 def resolved(target: Column, base: Column) -> Column:
     """A target as a url: as it is if it names a scheme and a host, else relative to base. Other
     schemes (mailto:, javascript:) stay without :// and make no edges."""
@@ -66,19 +72,21 @@ def resolved(target: Column, base: Column) -> Column:
 
 def link_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """(src, dst): a page's url and the url that a canonical link or a meta refresh in its html
-    names. Targets are resolved against the page's first <base href>, if it has one, and its url."""
+    names, among other relations too. Character references in them are resolved, and targets against
+    the page's first <base href>, if it has one, and its url."""
     html, url = F.col(f"`{html_col}`"), F.col(f"`{url_col}`")
     canonical = F.transform(F.regexp_extract_all(html, F.lit(_CANONICAL), 0), lambda t: F.trim(_attr(t, "href")))
     refresh = F.transform(F.regexp_extract_all(html, F.lit(_REFRESH), 0), lambda t: F.trim(F.regexp_extract(_attr(t, "content"), r"""(?is);\s*url\s*=\s*["']?([^"']*)""", 1)))
     base = F.trim(_attr(F.regexp_extract(html, _BASE, 0), "href"))
     has = F.lower(html).rlike("canonical|refresh")
     found = pages.where(has).where(url.contains("://")).select(url.alias("src"), base.alias("base"), F.explode(F.concat(canonical, refresh)).alias("dst")).where("dst != ''")
+    found = found.withColumns({"base": _unescape(F.col("base")), "dst": F.trim(_unescape(F.col("dst")))})
     found = found.withColumn("base", F.when(F.col("base") == "", F.col("src")).otherwise(resolved(F.col("base"), F.col("src"))))
     return found.select("src", resolved(F.col("dst"), F.col("base")).alias("dst")).where(_ABSOLUTE)
 
 
 def _vertex(url: Column) -> tuple[Column, Column]:
-    """A url without its scheme and fragment, as one hash; and the host and path."""
+    """Host and path of a url, and all of it but its scheme and fragment."""
     host, path = host_path(url)
     query = F.regexp_extract(url, r"\A[^?#]*(\?[^#]*)", 1)
     return host, path, F.concat(host, path, query)
@@ -111,13 +119,18 @@ def judge_urls(pages: DataFrame, url_col: str = "url", html_col: str = "html", r
     names = [c for c in pages.columns if c != html_col]
     host, path, full = _vertex(F.col(f"`{url_col}`"))
     rule, says = rule_for(host, path, rules)
-    node = F.when(host == "", None).otherwise(hash128(full)[0])
+    node = F.when(host == "", None).otherwise(_node(full))
     judged = pages.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], host.alias("h"), path.alias("p"), rule.alias("r"), says.alias("v"), node.alias("node"))
     out = judged.join(bad, F.col("node") == F.col("`bad node`"), "left")
     verdict = F.coalesce("v", F.when(F.col("`bad node`").isNotNull(), "block").otherwise("allow"))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c not in ("host", "path", "rule", "verdict")], F.col("h").alias("host"), F.col("p").alias("path"), F.col("r").alias("rule"), verdict.alias("verdict"))
 
 
+def _node(full: Column) -> Column:
+    """128 bits that stand for a url."""
+    return F.concat(*[F.lpad(F.hex(h), 16, "0") for h in hash128(full)])
+
+
 def _hashed(url: Column, name: str, rules: list[tuple[str, str, str]]) -> list[Column]:
     host, path, full = _vertex(url)
-    return [hash128(full)[0].alias(name), rule_for(host, path, rules)[1].alias(f"{name}_says")]
+    return [_node(full).alias(name), rule_for(host, path, rules)[1].alias(f"{name}_says")]
