@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate, chain
@@ -22,17 +23,18 @@ AHEAD = 3
 #: pre-tokenizer, whose Unicode tables differ in age, agree; texts with others go the slow way.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 COMMON = "\\x00-\u0557\u05d0-\u05ea\u0620-\u064a\u0900-\u0970\u0e01-\u0e3a\u2000-\u2070\u20a0-\u20bf\u2100-\u218b\u2190-\u23ff\u2500-\u27bf\u3000-\u3096\u30a1-\u30ff\u3400-\u4db5\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e\U0001f300-\U0001f64f"
-#: What a worker remembers: pieces, and characters of chunks.
-PIECES, CHUNK_CHARS = 150_000, 1_000_000
+#: What a worker remembers: pieces, and characters of the chunks of each of two generations. A
+#: chunk takes about four bytes a character.
+PIECES, CHUNK_CHARS = 150_000, 6_000_000
 
 
 class Encoded(NamedTuple):
     """A chunk by itself: where its pieces start (and its end), tokens before each, the ids."""
 
     text: str
-    starts: list[int]
-    before: list[int]
-    ids: list[int]
+    starts: array
+    before: array
+    ids: array
 
 
 def gear() -> np.ndarray:
@@ -79,7 +81,8 @@ class Encoder:
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.old_pieces: dict[str, tuple[int, ...]] = {}
         self.chunks: dict[str, Encoded] = {}
-        self.held = 0
+        self.old_chunks: dict[str, Encoded] = {}
+        self.held, self.seen, self.served = 0, 0, 0
         self.pattern, self.other = regex.compile(PATTERN).findall, re.compile(f"[^{COMMON}]").search
         self.ints = list(range(tok.get_vocab_size(with_added_tokens=True)))
         self.chars = dict(enumerate(_byte_chars()))
@@ -109,22 +112,31 @@ class Encoder:
             pieces = self.pattern(text)
         found = self.look_up(pieces)
         starts, before = accumulate(map(len, pieces), initial=0), accumulate(map(len, found), initial=0)
-        return Encoded(text, list(starts), list(before), list(chain.from_iterable(found)))
+        return Encoded(text, array("i", starts), array("i", before), array("i", chain.from_iterable(found)))
 
     def chunk(self, text: str) -> Encoded:
+        """A chunk's encoding, kept until as many characters of others have been used twice over."""
+        self.seen += len(text)
         found = self.chunks.get(text)
+        if found is not None:
+            self.served += len(text)
+            return found
+        found = self.old_chunks.get(text)
         if found is None:
-            if self.held > CHUNK_CHARS:
-                self.chunks, self.held = {}, 0
-            found = self.chunks[text] = self.alone(text)
-            self.held += len(text)
+            found = self.alone(text)
+        else:
+            self.served += len(text)
+        if self.held > CHUNK_CHARS:
+            self.old_chunks, self.chunks, self.held = self.chunks, {}, 0
+        self.chunks[text] = found
+        self.held += len(text)
         return found
 
-    def joined(self, texts: list[str]) -> list[int]:
+    def joined(self, texts: list[str]) -> array:
         """The ids of the joined texts. From the last piece of one side that nothing behind it
         can change, the join is encoded again, with ever more of the other side, until a piece
         starts where one of the other side's own pieces starts: from there its ids hold."""
-        out: list[int] = []
+        out = array("i")
         now, since = self.chunk(texts[0]), 0
         for n, text in enumerate(texts[1:], 2):
             at = max(since, bisect_right(now.starts, len(now.text) - AHEAD) - 1)
@@ -151,21 +163,24 @@ class Encoder:
                 break
         return out + now.ids[now.before[since] :]
 
-    def plain(self, text: str, bits: int = CUT_BITS) -> list[int]:
+    def plain(self, text: str, bits: int = CUT_BITS) -> array:
         data = text.encode()
         ends = cuts(data, self.table, bits)
         if not ends:
-            return self.chunk(text).ids if text else []
+            return self.chunk(text).ids if text else array("i")
         return self.joined([data[a:b].decode() for a, b in zip([0, *ends], [*ends, len(data)])])
 
-    def encode(self, text: str, bits: int = CUT_BITS) -> list[int]:
+    def compact(self, text: str, bits: int = CUT_BITS) -> array:
         if self.stops is None or not self.stops.search(text):
             return self.plain(text, bits)
-        out: list[int] = []
+        out = array("i")
         for i, part in enumerate(self.stops.split(text)):
-            out += [self.added[part]] if i % 2 else self.plain(part, bits)
+            out += array("i", [self.added[part]]) if i % 2 else self.plain(part, bits)
         return out
 
+    def encode(self, text: str, bits: int = CUT_BITS) -> list[int]:
+        return self.compact(text, bits).tolist()
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -196,7 +211,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     tokenizer is the path of a byte-level BPE definition of the tokenizers library; the ids are
     those of encode(text, add_special_tokens=False), strings of added tokens in a text included,
     and decoded is decode(ids, skip_special_tokens=False). Null texts count as empty: no ids and
-    an empty text. Null and repeated ids pass through row by row; other columns are left out.
+    an empty text. Ids of any type, null and repeated ones too, pass through row by row; other
+    columns are left out.
 
     A text is cut where a rolling hash of its bytes says so, hence equal passages get equal
     chunks. A worker process encodes a chunk once for all its documents and tasks, within bounded
@@ -208,26 +224,21 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(shared.value)
-        kind = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
         for batch in batches:
-            rows, held = [], 0
-            keys, texts = batch.column(0), batch.column(1)
-            for i in range(batch.num_rows):
-                text = texts[i].as_py() or ""
-                ids = encoder.encode(text)
-                rows.append((keys[i].as_py(), len(ids), np.array(ids, np.int32), encoder.decode(ids)))
-                held += len(text)
-                if held > batch_chars:
-                    yield _batch(rows, kind)
-                    rows, held = [], 0
-            if rows:
-                yield _batch(rows, kind)
-
-    out = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "id long, n_tokens long, ids array<int>, decoded string")
+            keys, texts, at = batch.column(0), batch.column(1), 0
+            while at < batch.num_rows:
+                first, ids, decoded, held = at, [], [], 0
+                while at < batch.num_rows and held < batch_chars:
+                    text = texts[at].as_py() or ""
+                    ids.append(encoder.compact(text))
+                    decoded.append(encoder.decode(ids[-1]))
+                    held += len(text)
+                    at += 1
+                sizes = np.array([len(x) for x in ids], np.int64)
+                flat = pa.array(np.concatenate([np.frombuffer(x, np.int32) for x in ids]))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), flat)
+                yield pa.RecordBatch.from_arrays([keys.slice(first, at - first), pa.array(sizes), lists, pa.array(decoded, pa.string())], names=["id", "n_tokens", "ids", "decoded"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    out = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids array<int>, decoded string")
     return out.select(F.col("id").alias(id_col), "n_tokens", "ids", "decoded")
-
-
-def _batch(rows: list[tuple], kind: pa.Schema) -> pa.RecordBatch:
-    keys, sizes, ids, decoded = zip(*rows)
-    flat = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), flat, pa.array(decoded, pa.string())], schema=kind)
