@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,11 +16,14 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or the context's own.
 
-    Only where neither is set (tests, one machine) a temporary folder is made and set.
+    Only where neither is set and the master is local (tests, one machine) a temporary folder is
+    made and set; on a cluster that raises RuntimeError.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         base = sc.getCheckpointDir()
     return base.rstrip("/")
@@ -37,12 +41,31 @@ def clear_shared(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: The tables that this process has written, in order.
+_WRITTEN: list[str] = []
+
+
+def mark() -> int:
+    """A point in the order of written tables, for clear_since."""
+    return len(_WRITTEN)
+
+
+def clear_since(spark: SparkSession, point: int, keep: int = 0) -> None:
+    """Removes the tables written since a point but the last `keep`, when nothing reads them any more."""
+    old = _WRITTEN[point : len(_WRITTEN) - keep]
+    _WRITTEN[point : len(_WRITTEN) - keep] = []
+    for name in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, what: str = "cut") -> DataFrame:
     """df, computed once, written to the shared folder and read back: cuts the lineage,
     survives the loss of any executor, and lets later plans see true sizes."""
     spark = df.sparkSession
     path = new_path(spark, what)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
