@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, line_dedup, queries, simhash
 from tidemark.llm.bpe import encode_documents
-from tidemark.llm.common import written
+from tidemark.llm.common import clear_since, mark, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = queries.table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage read and wrote on its way goes when its result is written."""
+    docs, point = queries.table(spark, sf_dir, "documents"), mark()
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = written(docs, name)
+            clear_since(spark, point, keep=1)
     return docs
