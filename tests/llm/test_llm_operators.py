@@ -105,6 +105,20 @@ def test_warc(spark, tmp_path):
         warc.read_warc(manifest, split_bytes=3_000).collect()
 
 
+def test_warc_of_long_urls(spark):
+    urls = ["http://long/" + "a" * 70_000, "http://long/" + "b" * 300_000, "http://c", "http://long/" + "d" * 65_536]
+    html = ["x" * 200, "WARC/1.1\r\n" + "no header " * 20_000, "WARC/1.1\r\nName: " + "v" * 100_000, "WARC/1.1\r\nContent-Length: 3\r\n\r\n" + "y" * 90_000]
+    df = spark.createDataFrame(list(zip(range(4), urls, html)), "page_id long, url string, html string")
+    for split in (5_000, 1 << 20):
+        got = {r["page_id"]: r for r in warc.archive_and_read(df.coalesce(1), split_bytes=split).collect()}
+        assert [(got[i]["url"], bytes(got[i]["payload"]).decode()) for i in range(4)] == list(zip(urls, html))
+
+
+def test_warc_paths():
+    assert [warc.uri(x) for x in ("s3a://bucket/x", "s3n://b/x", "hdfs://h:1/x", "/tmp/a:b")] == ["s3://bucket/x", "s3://b/x", "hdfs://h:1/x", "/tmp/a:b"]
+    assert warc._open("file:/tmp/x")[1] == warc._open("file:///tmp/x")[1] == warc._open("/tmp/x")[1] == "/tmp/x"
+
+
 def slow_fingerprint(text):
     import xxhash
 
@@ -379,6 +393,16 @@ def test_language_stage_keeps_unlabelled_documents(spark):
         assert sorted(x["text"] for x in langid.keep_identified(df).collect()) == sorted(texts[:3])
 
 
+def test_links_among_other_relations(spark):
+    page = lambda rel, href: f"<link {rel} href='{href}'>"
+    pages = [(1, page('rel="alternate canonical"', "http://spam.org/es/1")), (2, page("rel='canonical alternate'", "http://spam.org/es/1")), (3, page('rel="noncanonical"', "http://spam.org/es/1")), (4, page('rel="alternate"', "http://spam.org/es/canonical")), (5, page("rel=canonical", "http://x.io/q?a=1&amp;b=2")), (6, page("rel=canonical", "http&#58;//spam.org/es/1"))]
+    df = spark.createDataFrame([(i, f"http://free.io/{i}", h) for i, h in pages], "page_id long, url string, html string")
+    more = spark.createDataFrame([("http://x.io/q?a=1&b=2", "http://spam.org/es/2")], "src string, dst string")
+    got = {x["page_id"]: x["verdict"] for x in url_filter.judge_urls(df, redirects=more).collect()}
+    assert got == {i: "block" if i in (1, 2, 5, 6) else "allow" for i in range(1, 7)}
+    assert url_filter.judge_urls(spark.createDataFrame([(1, "http://x/" + "p" * 200_000, "<link rel=canonical href='/" + "q" * 200_000 + "'>")], "page_id long, url string, html string")).count() == 1
+
+
 def tokenizer_path():
     return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
 

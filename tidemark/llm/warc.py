@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from .common import new_path, written
 
 MAGIC = b"WARC/1.1\r\n"
-#: A header that is longer isn't one.
-MAX_HEADER = 65536
+#: Bytes read past a range for the headers that begin in it; more are read where one is longer.
+LOOK = 65536
+#: Where parse_header says that the block starts if the bytes at hand don't end a header.
+MORE = -1
 MOST_TASKS = 20_000
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
@@ -36,27 +38,33 @@ def record(page_id: int | None, url: str | None, payload: bytes, size: int, dige
     return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def parse_header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
-    """The fields of the header at `at`, and where its block starts; None if it isn't a header."""
+def parse_header(data: bytes, at: int, whole: bool = True) -> tuple[dict[str, str], int] | None:
+    """The fields of the header at `at`, and where its block starts; None if it isn't a header.
+    the block starts at MORE if it may be one but ends after the data, unless that is whole."""
     if not data.startswith(MAGIC, at):
         return None
-    end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
-    if end < 0:
-        return None
-    fields = {}
-    for line in data[at + len(MAGIC) : end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+    fields, at = {}, at + len(MAGIC)
+    while not data.startswith(b"\r\n", at):
+        end = data.find(b"\r\n", at)
+        if end < 0:
+            return None if whole else (fields, MORE)
+        name, colon, value = data[at:end].partition(b":")
         if not colon:
             return None
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    return (fields, end + 4) if fields.get("content-length", "").isdecimal() else None
+        at = end + 2
+    return (fields, at + 2) if fields.get("content-length", "").isdecimal() else None
 
 
-def candidates(data: bytes, base: int, start: int, end: int, size: int) -> dict[int, int]:
-    """Offset of each possible record that begins in [start, end), with that of its successor."""
-    found, at = {}, data.find(MAGIC)
+def candidates(data: bytes, base: int, start: int, end: int, size: int) -> dict[int, int] | None:
+    """Offset of each possible record that begins in [start, end), with that of its successor;
+    None if a header may go on after the data."""
+    found, at, whole = {}, data.find(MAGIC), base + len(data) >= size
     while 0 <= at and base + at < end:
-        if base + at >= start and (head := parse_header(data, at)):
+        head = parse_header(data, at, whole) if base + at >= start else None
+        if head and head[1] == MORE:
+            return None
+        if head:
             follow = base + head[1] + int(head[0]["content-length"]) + 4
             if follow <= size:
                 found[base + at] = follow
@@ -77,11 +85,22 @@ def leaving(found: dict[int, int], end: int) -> dict[int, int]:
     return out
 
 
+#: Hadoop's names of file systems that are called otherwise here.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def uri(path: str) -> str:
+    """A path as Hadoop writes it, as pyarrow reads it."""
+    scheme, colon, rest = path.partition(":")
+    if colon and scheme in _SCHEMES:
+        return f"{_SCHEMES[scheme]}://{rest.lstrip('/')}"
+    return f"file:///{rest.lstrip('/')}" if colon and scheme == "file" else path
+
+
 def _open(path: str):
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(path)
-    return system, inner
+    return fs.FileSystem.from_uri(uri(path))
 
 
 def _writer(folder: str, file_bytes: int):
@@ -121,7 +140,8 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     response records; the others are revisits that refer to it. Smaller payloads are all
     responses. A null payload counts as empty; a null url leaves its field out, and control
     characters in urls are written as %XX; a null id is
-    never the smallest, and rows of a group whose ids are all null are responses.
+    never the smallest, and rows of a group whose ids are all null are responses. Urls and
+    payloads may be of any length.
 
     Each attempt of a task writes files of its own; the manifest, which is written as a table,
     names only those of attempts that succeeded. Payloads that repeat are found by digest, with
@@ -146,9 +166,14 @@ def _scanner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, size, start, end in zip(*(batch.column(n).to_pylist() for n in ("path", "size", "start", "end"))):
             system, inner = _open(path)
             with system.open_input_file(inner) as f:
-                f.seek(start)
-                data = f.read(min(size, end + MAX_HEADER + len(MAGIC)) - start)
-            out = leaving(candidates(data, start, start, end, size), end)
+                if f.size() < size:
+                    raise ValueError(f"{path} is shorter than its manifest says")
+                look, found = LOOK, None
+                while found is None:
+                    f.seek(start)
+                    found = candidates(f.read(min(size, end + look + len(MAGIC)) - start), start, start, end, size)
+                    look *= 4
+            out = leaving(found, end)
             yield pa.RecordBatch.from_pydict({"path": [path] * len(out), "at": list(out), "leaves": list(out.values()), "size": [size] * len(out)}, schema=pa.schema([("path", pa.string()), ("at", pa.int64()), ("leaves", pa.int64()), ("size", pa.int64())]))
 
 
@@ -169,12 +194,15 @@ def _reader(with_payload: bool, batch_bytes: int = 32 << 20):
             for path, at, end in zip(*(batch.column(n).to_pylist() for n in ("path", "at", "end"))):
                 system, inner = _open(path)
                 with system.open_input_file(inner) as f:
-                    base, data = at, b""
+                    base, data, size = at, b"", f.size()
                     while at < end:
-                        if len(data) - (at - base) < MAX_HEADER:
+                        look, whole = batch_bytes // 4, base + len(data) >= size
+                        head = parse_header(data, at - base, whole) if whole or at + len(MAGIC) <= base + len(data) else ({}, MORE)
+                        while head and head[1] == MORE:
                             f.seek(at)
-                            base, data = at, f.read(batch_bytes // 4)
-                        fields, block = parse_header(data, at - base)
+                            base, data = at, f.read(look)
+                            head, look = parse_header(data, 0, base + len(data) >= size), 4 * look
+                        fields, block = head
                         length = int(fields["content-length"])
                         if block + length + 4 > len(data):
                             f.seek(at)
@@ -187,8 +215,8 @@ def _reader(with_payload: bool, batch_bytes: int = 32 << 20):
                         revisit = fields["warc-type"] == "revisit"
                         if not revisit and hashlib.sha256(payload).hexdigest() != digest:
                             raise ValueError(f"{path}: the payload at {at} doesn't have its digest")
-                        size = int(http.rpartition(b"Content-Length: ")[2])
-                        rows.append((page(fields["warc-record-id"]), fields.get("warc-target-uri"), size, digest, fields["warc-type"], page(fields.get("warc-refers-to")), payload if with_payload and not revisit else None))
+                        n_bytes = int(http.rpartition(b"Content-Length: ")[2])
+                        rows.append((page(fields["warc-record-id"]), fields.get("warc-target-uri"), n_bytes, digest, fields["warc-type"], page(fields.get("warc-refers-to")), payload if with_payload and not revisit else None))
                         held += len(rows[-1][6] or b"") + 200
                         at = base + block + length + 4
                         if held > batch_bytes:
