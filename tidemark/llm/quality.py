@@ -105,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([s.tobytes() for s in seen], pa.binary()), pa.array([s.tobytes() for s in shapes], pa.binary())], names=["quality", "toxic", "seen", "shape"])
 
     text = docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").alias("text"))
-    found = text.join(F.broadcast(chosen), "k").select("quality", "toxic", "text").mapInArrow(run, "quality double, toxic double, seen binary, shape binary").limit(4 * rows).collect()
+    found = text.join(F.broadcast(chosen), "k").select("quality", "toxic", "text").mapInArrow(run, "quality double, toxic double, seen binary, shape binary").orderBy(F.xxhash64("seen", "shape"), "quality", "toxic").limit(4 * rows).collect()
     found.sort(key=lambda r: (r["seen"], r["shape"], str(r["quality"]), str(r["toxic"])))
     as_float = lambda h: np.array([np.nan if r[h] is None else r[h] for r in found], float)
     shapes = np.array([np.frombuffer(r["shape"]) for r in found]).reshape(-1, SHAPES)
@@ -126,15 +126,23 @@ def _strength(mean: str) -> Column:
     return F.least(F.greatest(inner / F.greatest(spread - noise, F.lit(1e-9)) - 1, F.lit(1.0)), F.lit(1e4))
 
 
+def shrunk(s: Column, n: Column, k: float, prior: Column) -> Column:
+    """The posterior mean of n observations with sum s under a prior that is worth k of them."""
+    return (s + k * prior) / (n + k)
+
+
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
-    """One row per row of docs: the id, keep, and for quality and toxic (p_, host_, path_) the
-    document's posterior and those of its host and path.
+    """One row per row of docs: the id, keep, and for quality and toxic (p_, host_, path_,
+    evidence_) the document's posterior, those of its host and path, and what the classifier says
+    of its text alone.
 
     A logistic classifier, fitted on a bounded sample of the labels, reads the whole text. Over
     all documents, its probabilities are counted by host and by path within the host; a host's
     posterior mean shrinks towards the global mean, a path's towards its host's, with strengths
     found by moments. A document's logit moves by what its path's posterior differs from the
-    global mean. keep: quality at least and toxic below one half.
+    global mean, where path and host are those without the document itself, so its own evidence
+    counts once, and a document alone on its host doesn't move. keep: quality at least and toxic
+    below one half.
 
     Null hosts and paths are groups of their own; null and empty texts are judged by their shape;
     equal ids get a row each; other columns are left out. Without any label of a head, its
@@ -152,19 +160,25 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = written(rows.select("id", "host", "path", "x.*"), "scores")
     p = {h: 1 / (1 + F.exp(-F.col(h))) for h in HEADS}
     paths = written(rows.groupBy("host", "path").agg(F.count("*").alias("n"), *[F.sum(p[h]).alias(h) for h in HEADS]), "paths")
-    posterior = paths.select("host", "path", "n", *HEADS)
+    hosts = paths.groupBy(F.col("host").alias("host2")).agg(F.sum("n").alias("host_n"), *[F.sum(h).alias(f"host_s_{h}") for h in HEADS])
+    joined = written(paths.join(hosts, F.col("host").eqNullSafe(F.col("host2"))).drop("host2"), "hosts")
+    totals = paths.agg(F.sum("n").alias("n"), *[F.sum(h).alias(h) for h in HEADS]).head()
+    known: dict[str, tuple[float, float, float]] = {}
     for h in HEADS:
-        total = paths.agg(F.sum(h) / F.sum("n")).head()[0]
-        total = 0.5 if total is None else float(total)
-        hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum(h).alias("s")).withColumn("m", F.lit(total))
-        k = hosts.agg(_strength("m")).head()[0] or 1.0
-        hosts = hosts.select(F.col("host").alias("host2"), ((F.col("s") + k * total) / (F.col("n") + k)).alias("m"))
-        within = paths.select("host", "path", "n", F.col(h).alias("s")).join(hosts, F.col("host").eqNullSafe(F.col("host2")))
-        k = within.agg(_strength("m")).head()[0] or 1.0
-        within = within.select(F.col("host").alias("host2"), F.col("path").alias("path2"), F.col("m").alias(f"host_{h}"), ((F.col("s") + k * F.col("m")) / (F.col("n") + k)).alias(f"path_{h}"))
-        posterior = posterior.join(within, F.col("host").eqNullSafe(F.col("host2")) & F.col("path").eqNullSafe(F.col("path2"))).drop("host2", "path2").withColumn(f"shift_{h}", _logit(F.col(f"path_{h}")) - _logit(F.lit(total)))
-    posterior = written(posterior.drop("n", *HEADS).withColumnsRenamed({"host": "host2", "path": "path2"}), "posteriors")
+        total = float(totals[h] / totals["n"]) if totals["n"] else 0.5
+        host_k = joined.select("host", "host_n", f"host_s_{h}").distinct().select(F.col("host_n").alias("n"), F.col(f"host_s_{h}").alias("s"), F.lit(total).alias("m")).agg(_strength("m")).head()[0] or 1.0
+        mean = shrunk(F.col(f"host_s_{h}"), F.col("host_n"), host_k, F.lit(total))
+        path_k = joined.select("n", F.col(h).alias("s"), mean.alias("m")).agg(_strength("m")).head()[0] or 1.0
+        known[h] = total, host_k, path_k
+    posterior = joined.withColumnsRenamed({"host": "host2", "path": "path2"} | {h: f"path_s_{h}" for h in HEADS})
     out = rows.join(posterior, F.col("host").eqNullSafe(F.col("host2")) & F.col("path").eqNullSafe(F.col("path2")))
-    final = {h: 1 / (1 + F.exp(-(F.col(h) + F.col(f"shift_{h}")))) for h in HEADS}
+    final, shown = {}, []
+    for h in HEADS:
+        total, host_k, path_k = known[h]
+        s_host, s_path = F.col(f"host_s_{h}"), F.col(f"path_s_{h}")
+        whole = shrunk(s_host, F.col("host_n"), host_k, F.lit(total))
+        others = shrunk(s_path - p[h], F.col("n") - 1, path_k, shrunk(s_host - p[h], F.col("host_n") - 1, host_k, F.lit(total)))
+        final[h] = 1 / (1 + F.exp(-(F.col(h) + _logit(others) - _logit(F.lit(total)))))
+        shown += [final[h].alias(f"p_{h}"), whole.alias(f"host_{h}"), shrunk(s_path, F.col("n"), path_k, whole).alias(f"path_{h}"), p[h].alias(f"evidence_{h}")]
     keep = (final["quality"] >= 0.5) & (final["toxic"] < 0.5)
-    return out.select(F.col("id").alias(id_col), keep.alias("keep"), *[c for h in HEADS for c in (final[h].alias(f"p_{h}"), F.col(f"host_{h}"), F.col(f"path_{h}"))])
+    return out.select(F.col("id").alias(id_col), keep.alias("keep"), *shown)
