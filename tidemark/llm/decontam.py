@@ -9,8 +9,9 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import hash128, written
 from .tokens import Tokenizer, folded, gram_hashes, running_hashes
@@ -19,6 +20,8 @@ from .tokens import Tokenizer, folded, gram_hashes, running_hashes
 LEAST, COVERAGE = 5, 0.5
 #: Seeds of the benchmark that may travel to every task (about 12 bytes each); more are joined by shuffle.
 MOST_SEEDS = 2_000_000
+#: Parts of a seed's documents that are joined apart.
+SALTS = 16
 
 
 def tiles(doc: np.ndarray, item: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
@@ -136,11 +139,10 @@ def _found(items: Items, texts: list[str | None], least: int, coverage: float) -
                 yield first + t, i, marked, len(item), parts
 
 
-def _batch(rows: list[tuple], doc_type: pa.DataType, item_type: str) -> pa.RecordBatch:
+def _batch(rows: list[tuple], doc_type: pa.DataType, item_type: pa.DataType) -> pa.RecordBatch:
     span = pa.struct([("doc_word", pa.int32()), ("item_word", pa.int32()), ("n_words", pa.int32())])
     spans = [[{"doc_word": int(s), "item_word": int(u), "n_words": int(k)} for s, u, k in r[4]] for r in rows]
-    item = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
-    cols = [pa.array([r[0] for r in rows], doc_type), pa.array([r[1] for r in rows], item), pa.array([r[2] / r[3] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.int32()), pa.array(spans, pa.list_(span))]
+    cols = [pa.array([r[0] for r in rows], doc_type), pa.array([r[1] for r in rows], item_type), pa.array([r[2] / r[3] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.int32()), pa.array(spans, pa.list_(span))]
     return pa.RecordBatch.from_arrays(cols, names=["doc", "item", "coverage", "n_words", "tiles"])
 
 
@@ -165,30 +167,40 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
     either side gives no rows.
 
     A benchmark of proven small size goes to every task, and documents are neither shuffled nor
-    reread. A larger one is joined by its seeds, of which each document has each once; texts
-    follow only for pairs that share a seed.
+    reread. A larger one is joined by its seeds. Tiles that cover enough of a passage hold a number
+    of its seeds, so each passage leaves out its most frequent seeds, one fewer than that number,
+    and pairs are dropped that share fewer than it; texts follow only for the pairs that are left.
+    A seed that very many documents have is split.
     """
     found = _contaminated(docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text")), bench, item_col, item_text_col, least, coverage)
     return found.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "coverage", "n_words", "tiles")
 
 
 def _contaminated(docs: DataFrame, bench: DataFrame, item_col: str, item_text_col: str, least: int, coverage: float) -> DataFrame:
-    spark, kinds = docs.sparkSession, (docs.schema["doc"].dataType.simpleString(), bench.schema[item_col].dataType.simpleString())
-    schema = f"doc {kinds[0]}, item {kinds[1]}, coverage double, n_words int, tiles {_SPANS}"
+    spark, item_kind = docs.sparkSession, bench.schema[item_col].dataType
+    schema = f"doc {docs.schema['doc'].dataType.simpleString()}, item {item_kind.simpleString()}, coverage double, n_words int, tiles {_SPANS}"
     small = _small(bench, item_col, item_text_col, least)
     if small is None:
         return _by_shuffle(docs, bench.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{item_text_col}`").alias("item_text")), least, coverage, schema)
+    item_type = to_arrow_type(item_kind)
     shared = spark.sparkContext.broadcast((small[0], Items(small[1], least)))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, items = shared.value
         for part in parts:
             docs, texts = part.column(0), part.column(1).to_pylist()
-            yield _batch([(docs[t].as_py(), ids[i], *rest) for t, i, *rest in _found(items, texts, least, coverage)], docs.type, kinds[1])
+            yield _batch([(docs[t].as_py(), ids[i], *rest) for t, i, *rest in _found(items, texts, least, coverage)], docs.type, item_type)
 
     return docs.select("doc", "text").mapInArrow(run, schema)
 
 
+def needed(n_words: int, least: int = LEAST, coverage: float = COVERAGE) -> int:
+    """How many of a passage's seeds (n_words - least + 1 places) lie in tiles that cover enough of
+    it, at least: each place covers `least` words."""
+    least = min(least, n_words)
+    return max(1, int(np.ceil(coverage * n_words / least))) if least else 0
+
+
 def _by_shuffle(docs: DataFrame, bench: DataFrame, least: int, coverage: float, schema: str) -> DataFrame:
     lengths = [r[0] for r in written(bench.select(_n_words("item_text", least).alias("n")).distinct(), "lengths").where("n > 0").collect()]
 
@@ -196,14 +208,15 @@ def _by_shuffle(docs: DataFrame, bench: DataFrame, least: int, coverage: float,
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = Tokenizer()
             for part in parts:
-                keys = [part.column(i).to_pylist() for i in (0, 1)]
+                keys = [part.column(i).to_numpy() for i in (0, 1)]
                 for first, texts, cut, h, _, _ in tokens.groups([folded(t) for t in part.column(2).to_pylist()]):
                     for t in range(len(texts)):
                         own = h[cut[t] : cut[t + 1]]
-                        ns = lengths if kind == "doc" else [min(least, len(own))]
-                        for n in ns:
-                            g = np.unique(gram_hashes(own, n)).view(np.int64) if n else np.empty(0, np.int64)
-                            yield pa.RecordBatch.from_arrays([pa.array([keys[0][first + t]] * len(g), pa.int64()), pa.array([keys[1][first + t]] * len(g), pa.int64()), pa.array([n] * len(g), pa.int32()), pa.array(g, pa.int64())], names=["k1", "k2", "n", "g"])
+                        for n in lengths if kind == "doc" else [min(least, len(own))]:
+                            g, times = np.unique(gram_hashes(own, n), return_counts=True) if n else (np.empty(0, np.uint64), np.empty(0, np.int64))
+                            same = lambda x, kind: pa.array(np.full(len(g), x), kind)  # noqa: B023, E731
+                            need = needed(len(own), least, coverage) if kind == "item" else 0
+                            yield pa.RecordBatch.from_arrays([same(keys[0][first + t], pa.int64()), same(keys[1][first + t], pa.int64()), same(n, pa.int32()), pa.array(g.view(np.int64)), pa.array(times, pa.int64()), same(need, pa.int64())], names=["k1", "k2", "n", "g", "times", "need"])
 
         return run
 
@@ -212,16 +225,32 @@ def _by_shuffle(docs: DataFrame, bench: DataFrame, least: int, coverage: float,
         return df.select(k1.alias("k1"), k2.alias("k2"), F.col(key), F.col(text))
 
     d, b = keyed(docs, "doc", "text"), keyed(bench, "item", "item_text")
-    seeds = [x.select("k1", "k2", t).mapInArrow(grams(k), "k1 long, k2 long, n int, g long").toDF(f"{k}1", f"{k}2", "n", "g") for x, k, t in ((d, "doc", "text"), (b, "item", "item_text"))]
-    meet = written(seeds[0].join(seeds[1], ["n", "g"]).select("doc1", "doc2", "item1", "item2").distinct(), "pairs")
-    pairs = meet.join(d, (F.col("doc1") == d.k1) & (F.col("doc2") == d.k2)).select("doc", "text", "item1", "item2").join(b, (F.col("item1") == b.k1) & (F.col("item2") == b.k2)).select("doc", "text", "item", "item_text")
+    of_doc, of_item = [x.select("k1", "k2", t).mapInArrow(grams(k), "k1 long, k2 long, n int, g long, times long, need long").withColumnsRenamed({"k1": f"{k}1", "k2": f"{k}2"}) for x, k, t in ((d, "doc", "text"), (b, "item", "item_text"))]
+    of_item = written(of_item, "seeds")
+    # documents' seeds that some passage has, each once, and how many documents have each
+    held = written(of_doc.select("doc1", "doc2", "n", "g").join(of_item.select("n", "g").distinct(), ["n", "g"], "left_semi"), "held")
+    often = of_item.join(held.groupBy("n", "g").agg(F.count("*").alias("often")), ["n", "g"])
+    along = Window.partitionBy("item1", "item2").orderBy(F.desc("often"), "g")
+    rare = often.withColumn("so_far", F.sum("times").over(along)).where("so_far >= need").select("item1", "item2", "n", "g", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    meet = written(held.withColumn("salt", F.pmod("doc1", F.lit(SALTS)).cast("int")).join(rare, ["n", "g", "salt"]).select("doc1", "doc2", "item1", "item2").distinct(), "pairs")
+    # of these pairs, those that share enough seeds
+    have = meet.join(of_item, ["item1", "item2"]).join(held, ["doc1", "doc2", "n", "g"])
+    enough = written(have.groupBy("doc1", "doc2", "item1", "item2").agg(F.sum("times").alias("shared"), F.min("need").alias("need")).where("shared >= need"), "enough")
+    pairs = enough.join(d, (F.col("doc1") == d.k1) & (F.col("doc2") == d.k2)).select("doc", "text", "item1", "item2").join(b, (F.col("item1") == b.k1) & (F.col("item2") == b.k2))
+    item_type = to_arrow_type(bench.schema["item"].dataType)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokenizer()
+        words = lambda t: tokens.words(folded(t).encode("utf-8", "replace"))[0]
         for part in parts:
             rows = []
             for doc, text, item, item_text in zip(*(part.column(i).to_pylist() for i in range(4))):
-                rows += [(doc, item, *rest) for _, _, *rest in _found(Items([item_text], least), [text], least, coverage)]
-            yield _batch(rows, part.column(0).type, schema.split("item ")[1].split(",")[0])
+                own = words(item_text)
+                found = tiles(words(text), own, least)
+                marked = sum(p[2] for p in found)
+                if marked >= coverage * len(own):
+                    rows.append((doc, item, marked, len(own), found))
+            yield _batch(rows, part.column(0).type, item_type)
 
     return pairs.select("doc", "text", "item", "item_text").mapInArrow(run, schema)
 
@@ -240,9 +269,9 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text",
     names = [F.col(f"`{c}`") for c in docs.columns]
     text = F.col(f"`{text_col}`")
     if small is None:
-        k1, k2 = hash128(text)
-        bad = _contaminated(docs.select(k1.alias("doc"), text.alias("text")), bench, item_col, item_text_col, least, coverage).select(F.col("doc").alias("contaminated text")).distinct()
-        return docs.join(bad, k1 == F.col("`contaminated text`"), "left_anti").select(*names)
+        key = F.concat_ws(" ", *[F.hex(h) for h in hash128(text)])
+        bad = _contaminated(docs.select(key.alias("doc"), text.alias("text")), bench, item_col, item_text_col, least, coverage).select(F.col("doc").alias("contaminated text")).distinct()
+        return docs.join(bad, key == F.col("`contaminated text`"), "left_anti").select(*names)
     shared = docs.sparkSession.sparkContext.broadcast(Items(small[1], least))
 
     def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
