@@ -14,7 +14,9 @@ from .common import written
 from .tokens import Tokenizer
 
 #: Labelled rows that the classifier is fitted on; buckets of words; buckets that a head may use.
-SAMPLE, BUCKETS, CHOSEN = 8000, 1 << 15, 150
+SAMPLE, BUCKETS, CHOSEN = 8000, 1 << 20, 400
+#: The least log-likelihood ratio of a bucket that a head uses.
+TELLING = 13.0
 HEADS = ("quality", "toxic")
 SHAPES = 9
 
@@ -37,6 +39,17 @@ def features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]
             yield seen, np.array([np.log1p(n), len(np.unique(own)) / max(1, n), length, *np.sqrt(counts / size), 1.0])
 
 
+def telling(pos: np.ndarray, neg: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """The log-likelihood ratio of presence in pos of n1 and neg of n0 texts against equal rates."""
+    total = np.zeros(len(pos))
+    for seen, out, n in ((pos, n1 - pos, n1), (neg, n0 - neg, n0)):
+        rate = (pos + neg) / (n1 + n0)
+        for k, p in ((seen, rate), (out, 1 - rate)):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                total += np.where(k > 0, 2 * k * np.log(k / np.where(p > 0, n * p, 1)), 0.0)
+    return total
+
+
 class Classifier:
     """A logistic regression for each head over the presence of telling words and the shape."""
 
@@ -52,11 +65,9 @@ class Classifier:
                 self.heads[head] = (np.empty(0, np.int64), np.append(np.zeros(SHAPES - 1), np.log(rate / (1 - rate))), np.empty(0))
                 continue
             ok, yes = known[rows], np.nan_to_num(y)[rows] == 1
-            pos, neg = np.bincount(cols[ok & yes], minlength=BUCKETS) + 0.5, np.bincount(cols[ok & ~yes], minlength=BUCKETS) + 0.5
-            n1, n0 = (y[known] == 1).sum() + 1, (y[known] == 0).sum() + 1
-            z = np.abs(np.log(pos / (n1 - pos + 0.5)) - np.log(neg / (n0 - neg + 0.5))) / np.sqrt(1 / pos + 1 / neg)
+            z = telling(np.bincount(cols[ok & yes], minlength=BUCKETS), np.bincount(cols[ok & ~yes], minlength=BUCKETS), (y[known] == 1).sum(), (y[known] == 0).sum())
             chosen = np.sort(np.argsort(-z, kind="stable")[:CHOSEN])
-            chosen = chosen[z[chosen] > 4]
+            chosen = chosen[z[chosen] > TELLING]
             x = np.zeros((len(seen), len(chosen) + SHAPES))
             at = np.searchsorted(chosen, cols) if len(chosen) else np.zeros(len(cols), np.int64)
             hit = (at < len(chosen)) & (chosen[np.minimum(at, len(chosen) - 1)] == cols) if len(chosen) else np.zeros(len(cols), bool)
@@ -69,7 +80,7 @@ class Classifier:
         return np.concatenate([np.clip((shapes[:, :-1] - self.mean) / self.scale, -6, 6), np.ones((len(shapes), 1))], 1)
 
     @staticmethod
-    def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> np.ndarray:
+    def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 12) -> np.ndarray:
         w, keep = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
         keep[-1] = 1e-3
         for _ in range(rounds):
@@ -80,14 +91,14 @@ class Classifier:
 
     def logits(self, texts: list[str | None]) -> np.ndarray:
         out = np.empty((len(texts), len(self.heads)))
-        weights = {}
-        for head, (chosen, _, w) in self.heads.items():
-            weights[head] = np.zeros(BUCKETS)
-            weights[head][chosen] = w
+        every = np.unique(np.concatenate([np.asarray(c, np.int64) for c, _, _ in self.heads.values()]))
+        weights, used = np.zeros((len(self.heads), len(every) + 1)), np.full(BUCKETS, len(every), np.int32)
+        used[every] = np.arange(len(every))
+        for k, (chosen, _, w) in enumerate(self.heads.values()):
+            weights[k, np.searchsorted(every, chosen)] = w
+        shape_weights = np.array([ws for _, ws, _ in self.heads.values()])
         for i, (seen, shape) in enumerate(features(texts)):
-            s = self.shape(shape[None, :])[0]
-            for k, (head, (_, ws, _)) in enumerate(self.heads.items()):
-                out[i, k] = np.clip(s @ ws + weights[head][seen].sum(), -20, 20)
+            out[i] = np.clip(shape_weights @ self.shape(shape[None, :])[0] + weights[:, used[seen]].sum(1), -20, 20)
         return out
 
 
