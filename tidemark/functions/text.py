@@ -24,8 +24,35 @@ def _bare(x: pd.Series) -> pd.Series:
     return x.map(strip, na_action="ignore")
 
 
-_ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
-_STRIPPED = "aaaaaaeeeeiiiiooooouuuuncyyAAAAAAEEEEIIIIOOOOOUUUUNCY"
+def _latin() -> tuple[str, str, str]:
+    """Latin letters that are an ASCII letter with marks, those letters, and the characters of the
+    same blocks (and general punctuation) that have no mark to lose."""
+    import unicodedata
+
+    marked, plain, safe = "", "", ""
+    for i in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), *range(0x20A0, 0x20C1)):
+        c = chr(i)
+        parts = unicodedata.normalize("NFD", c)
+        if parts == c and unicodedata.category(c) != "Mn":
+            safe += c
+        elif parts[0].isascii() and all(unicodedata.category(x) == "Mn" for x in parts[1:]):
+            marked, plain = marked + c, plain + parts[0]
+    return marked, plain, safe
+
+
+def _ranges(chars: str) -> str:
+    """The characters (in order) as ranges of a regular expression's class."""
+    out, codes = [], [ord(c) for c in chars]
+    for c in codes:
+        if out and c == out[-1][1] + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out)
+
+
+_ACCENTED, _STRIPPED, _SAFE = _latin()
+_EASY = f"\\A(?:[\\x00-\\x7F]++|[{_ranges(''.join(sorted(_ACCENTED + _SAFE)))}])*+\\z"
 
 
 def nfc(c: Column) -> Column:
@@ -39,10 +66,9 @@ def canonical_text(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    """Without combining marks. Letters of western Europe stay in the JVM, others take an Arrow UDF."""
-    easy = F.translate(c, _ACCENTED, _STRIPPED)
-    rest = ~easy.rlike(r"\A[\x00-\x7F]*\z")
-    return F.when(rest, F.pandas_udf(_bare, "string")(F.when(rest, easy))).otherwise(easy)
+    """Without combining marks. Texts of Latin letters stay in the JVM, others take an Arrow UDF."""
+    easy = c.rlike(_EASY)
+    return F.when(easy, F.translate(c, _ACCENTED, _STRIPPED)).otherwise(F.pandas_udf(_bare, "string")(F.when(~easy, c)))
 
 
 def fold(c: Column) -> Column:

@@ -40,15 +40,28 @@ def coverage_gate(plans: DataFrame, covered: DataFrame) -> DataFrame:
 def sql_answers(plans: DataFrame, notes: DataFrame, limit: int = 200) -> tuple[DataFrame, DataFrame]:
     """((q, total, detail) of counting plans, (q, rank, codigo) of listing plans)."""
     sql = plans.where("strategy = 'sql'")
-    free = sql.where("size(organismos) = 0 and since is null and until is null").select("q")
-    fits = allowed_notes(sql, notes).union(free.join(notes.select("codigo"))).join(notes.select("codigo", "organismo", "fecha"), "codigo")
-    counts = fits.join(sql.where("wants_count").select("q"), "q", "left_semi").groupBy("q", "organismo").agg(F.count("*").alias("n"))
+    facts = notes.select("codigo", "organismo", "fecha")
+    fits = allowed_notes(sql, notes).join(facts, "codigo")
+    free = sql.where("size(organismos) = 0 and since is null and until is null").select("q", "wants_count")
+
+    counting, listing = sql.where("wants_count").select("q"), sql.where("not wants_count").select("q")
+    counts = fits.join(counting, "q", "left_semi").groupBy("q", "organismo").agg(F.count("*").alias("n"))
+    newest = Window.partitionBy("q").orderBy(F.desc("fecha"), "codigo")
+    listed = fits.join(listing, "q", "left_semi").withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= limit).select("q", "rank", "codigo")
+    # plans without a filter ask for the same of all notices, which is worked out once: one row, and a list
+    of_all = _totals(facts.groupBy("organismo").agg(F.count("*").alias("n")).withColumn("q", F.lit(0))).drop("q")
+    top = facts.orderBy(F.desc("fecha"), "codigo").limit(limit).agg(F.sort_array(F.collect_list(F.struct("fecha", -F.col("codigo"), "codigo")), False).alias("top"))
+    all_listed = free.where("not wants_count").select("q").join(F.broadcast(top)).select("q", F.posexplode("top").alias("i", "x")).select("q", (F.col("i") + 1).alias("rank"), "x.codigo")
+    totals = _totals(counts).unionByName(free.where("wants_count").select("q").join(F.broadcast(of_all)).where("total is not null"))
+    return totals, listed.unionByName(all_listed)
+
+
+def _totals(counts: DataFrame) -> DataFrame:
+    """(q, total, detail) of counts (q, organismo, n)."""
     top = Window.partitionBy("q").orderBy(F.desc("n"), "organismo")
     named = counts.withColumn("i", F.row_number().over(top))
     detail = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("i") <= 10, F.struct("i", F.concat_ws(": ", F.col("organismo"), F.col("n").cast("string")).alias("s"))))), lambda x: x["s"]), "; ")
-    newest = Window.partitionBy("q").orderBy(F.desc("fecha"), "codigo")
-    listed = fits.join(sql.where("not wants_count").select("q"), "q", "left_semi").withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= limit)
-    return named.groupBy("q").agg(F.sum("n").alias("total"), detail.alias("detail")), listed.select("q", "rank", "codigo")
+    return named.groupBy("q").agg(F.sum("n").alias("total"), detail.alias("detail"))
 
 
 def extractive(hits: DataFrame, passages: int = 3, chars: int = 400) -> DataFrame:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .answer import extractive
+from .ask import ask, no_answers
+from .index import ChunkRule, chunk
+
 #: Floors, and ceilings for what is to be avoided.
 THRESHOLDS = {"recall@8": 0.90, "hit_rate@8": 0.90, "routing_accuracy": 0.95, "refusal_rate_unanswerable": 0.50, "over_refusal_rate_answerable": 0.10}
 ABLATIONS = {
@@ -87,6 +93,48 @@ def ablation(results: DataFrame, k: int = 8, baseline: str = "baseline") -> Data
     return s.join(base).select("variant", *[F.col(f"`{n}`") for n in names], *[F.round(F.col(f"`{n}`") - F.col(f"`base {n}`"), 4).alias(f"delta {n}") for n in names])
 
 
+def run(gold: DataFrame, notes: DataFrame, chunks: DataFrame, provider: Callable[[DataFrame], DataFrame] | None = extractive, k: int = 8, **options) -> DataFrame:
+    """question_results of a question set (id, question, kind, strategy, gold_codigos, today) that
+    is asked of notes and their chunks. Notes that an exact plan lists count as retrieved. Without
+    a provider nothing is generated, and only gates refuse."""
+    asked = ask(gold.select(F.col("id").alias("q"), "question", "today"), notes, chunks, provider or no_answers, k, **options)
+    listed = asked.answers.where("strategy = 'sql'").select("q", F.posexplode("citations").alias("i", "codigo")).select("q", (F.col("i") + 1).alias("rank"), "codigo")
+    got = asked.hits.select("q", "rank", "codigo").union(listed)
+    plans = asked.answers.select("q", "strategy", "refused_because")
+    answers = None if provider is None else asked.answers.select("q", "sufficient", "citations")
+    return question_results(gold, notes.select("codigo"), plans, got, answers)
+
+
+def evaluate(gold: DataFrame, notes: DataFrame, chunks: DataFrame, provider: Callable[[DataFrame], DataFrame] | None = extractive, k: int = 8, **options) -> dict:
+    """A report: metrics, counts, and a row for each question."""
+    rows = run(gold, notes, chunks, provider, k, **options).persist()
+    try:
+        metrics = {c: v for c, v in summarise(rows, k).head().asDict().items() if c != "n_questions"}
+        yes = (F.col("kind") == "answerable") & ~F.col("skipped")
+        n = rows.agg(F.count("*").alias("total"), F.count_if(~F.col("skipped")).alias("scored"), F.count_if("skipped").alias("skipped_not_in_corpus"), F.count_if(yes).alias("answerable"), F.count_if(yes & (F.col("recall") >= 0)).alias("answerable_with_gold"), F.count_if(~F.col("skipped") & (F.col("kind") != "answerable")).alias("unanswerable"))
+        return {"generation": provider is not None, "k": k, "counts": n.head().asDict(), "metrics": metrics, "questions": [r.asDict() for r in rows.orderBy("id").collect()]}
+    finally:
+        rows.unpersist()
+
+
+def ablate(gold: DataFrame, notes: DataFrame, k: int = 8, variants: dict[str, dict] | None = None) -> DataFrame:
+    """The ablation table of all variants, one plan over the question set for each, without
+    generation. A variant may change how notes are cut, how words are folded, and how passages are
+    sought; what it leaves out is as in the baseline."""
+    parts = []
+    for name, change in (variants or ABLATIONS).items():
+        rule = ChunkRule(**{f: change[f] for f in ("chunk_chars", "overlap") if f in change})
+        folded = change.get("folded", True)
+        rest = {f: v for f, v in change.items() if f not in ("chunk_chars", "overlap", "folded")}
+        usable = notes.where("body_status = 'ok' and length(trim(body_text)) > 0")
+        rows = run(gold, notes, chunk(usable, rule, folded), None, k, folded=folded, **rest)
+        parts.append(rows.select("id", "kind", "skipped", "routed", "recall", "hit", "refused", F.lit(name).alias("variant")))
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    return ablation(both, k, next(iter(variants or ABLATIONS)))
+
+
 def render(metrics: dict[str, float], title: str = "evaluation") -> str:
     width = max(map(len, metrics), default=0)
     return "\n".join([title, *[f"  {n:<{width}}  {v}" for n, v in metrics.items()]])

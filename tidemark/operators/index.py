@@ -94,22 +94,25 @@ def build_index(table, notes: DataFrame, rule: ChunkRule = ChunkRule(), folded:
     return {"indexed": n, "skipped": total - n, "removed": removed}
 
 
-def postings(chunks: DataFrame, id_cols: list[str], folded: bool = True, weights: dict[str, float] | None = None) -> DataFrame:
-    """(id, term, prefix, tf_<field>..., wtf): occurrences of each term in each field of a passage
-    and their weighted sum. The prefix is stored, so that prefix search is an equi-join."""
+def postings(chunks: DataFrame, id_cols: list[str], folded: bool = True, weights: dict[str, float] | None = None, only: DataFrame | None = None) -> DataFrame:
+    """(id, term, prefix, tf_<field>..., wtf, n_tokens): occurrences of each term in each field of a
+    passage, their weighted sum, and the passage's tokens. The prefix is stored, so that prefix
+    search is an equi-join. only (phrase) leaves out terms that begin unlike all phrases, before
+    anything is shuffled."""
     weights = weights or WEIGHTS
     fields = list(weights)
-
-    def of(field: str) -> Column:
-        found = F.coalesce(tokens(F.col(field), folded), F.array().cast("array<string>"))
-        return F.transform(found, lambda t: F.struct(t.alias("term"), F.lit(field).alias("field")))
-
+    found = {f: F.coalesce(tokens(F.col(f), folded), F.array().cast("array<string>")) for f in fields}
+    each = chunks.select(*id_cols, *[found[f].alias(f"in {f}") for f in fields])
+    of = lambda f: F.transform(f"`in {f}`", lambda t: F.struct(t.alias("term"), F.lit(f).alias("field")))
     terms = F.concat(*map(of, fields))
-    rows = chunks.select(*id_cols, F.explode(terms).alias("x")).select(*id_cols, "x.term", "x.field")
+    rows = each.select(*id_cols, sum((F.size(f"`in {f}`") for f in fields), F.lit(0)).cast("long").alias("n_tokens"), F.explode(terms).alias("x"))
+    rows = rows.select(*id_cols, "n_tokens", "x.term", "x.field", F.substring("x.term", 1, PREFIX).alias("prefix"))
+    if only is not None:
+        rows = rows.join(only.select(F.substring("phrase", 1, PREFIX).alias("prefix")).distinct(), "prefix", "left_semi")
     counts = [F.count_if(F.col("field") == f).alias(f"tf_{f}") for f in fields]
-    out = rows.groupBy(*id_cols, "term").agg(*counts)
+    out = rows.groupBy(*id_cols, "term", "prefix", "n_tokens").agg(*counts)
     total = sum((F.col(f"tf_{f}") * F.lit(float(w)) for f, w in weights.items()), F.lit(0.0))
-    return out.withColumn("prefix", F.substring("term", 1, PREFIX)).withColumn("wtf", total)
+    return out.withColumn("wtf", total)
 
 
 def lengths(chunks: DataFrame, id_cols: list[str], folded: bool = True, fields: list[str] | None = None) -> DataFrame:

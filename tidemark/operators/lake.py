@@ -97,13 +97,14 @@ def broken_invariants(silver: DataFrame, key: str = "codigo", order: str = "revi
 
 def amendments(silver: DataFrame, by: str = "organismo") -> DataFrame:
     """By current agency: notices, amended ones, their share, and mean days to the first correction
-    (revision 2). One window gives each notice its first and last facts; nothing is self-joined."""
+    (revision 2), counted from the notice's date of publication; and, in days_since_seen, from the
+    first snapshot that had it. One window gives each notice its first and last facts; nothing is
+    self-joined."""
     w = Window.partitionBy("codigo")
-    s = silver.select("codigo", by, "revision", "valid_from", "is_current", F.max("revision").over(w).alias("last"), F.min(F.when(F.col("revision") == 1, F.col("valid_from"))).over(w).alias("published"), F.min(F.when(F.col("revision") == 2, F.col("valid_from"))).over(w).alias("corrected"), F.min("valid_from").over(w).alias("begun"))
-    cur = s.where("is_current")
+    s = silver.select("codigo", by, "fecha", "is_current", F.max("revision").over(w).alias("last"), F.min(F.when(F.col("revision") == 2, F.col("valid_from"))).over(w).alias("corrected"), F.min("valid_from").over(w).alias("begun"))
     amended = F.when(F.col("last") > 1, 1).otherwise(0)
-    days = F.datediff("corrected", F.coalesce("published", "begun"))
-    return cur.groupBy(by).agg(F.count("*").alias("notas"), F.sum(amended).alias("amended"), F.round(F.avg(amended.cast("double")), 4).alias("amendment_rate"), F.round(F.avg(F.when(F.col("last") > 1, days)), 1).alias("avg_days_to_correction")).orderBy(F.desc("amended"), by)
+    days = lambda start: F.round(F.avg(F.datediff("corrected", start)), 1)
+    return s.where("is_current").groupBy(by).agg(F.count("*").alias("notas"), F.sum(amended).alias("amended"), F.round(F.avg(amended.cast("double")), 4).alias("amendment_rate"), days("fecha").alias("avg_days_to_correction"), days("begun").alias("days_since_seen")).orderBy(F.desc("amended"), by)
 
 
 def monthly_activity(silver: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import fold, shortened
+from ..functions.text import _ACCENTED, _STRIPPED, fold, shortened
 from .index import PREFIX
 
 K1, B, DAMPING = 1.2, 0.75, 60
@@ -23,16 +23,15 @@ def phrases(questions: DataFrame, terms_col: str = "terms", use_prefix: bool = T
     return one.select("q", F.when(long, F.substring("w", 1, PREFIX)).otherwise(F.col("w")).alias("phrase"), long.alias("is_prefix")).distinct()
 
 
-def bm25(posts: DataFrame, sizes: DataFrame, asked: DataFrame, id_cols: list[str], allowed: DataFrame | None = None) -> DataFrame:
+def bm25(posts: DataFrame, sizes: DataFrame, asked: DataFrame, id_cols: list[str], allowed: DataFrame | None = None, within=None) -> DataFrame:
     """(q, id, score) of every passage that matches a phrase.
 
     Document frequencies, the number of passages and their mean length are those of the whole
-    corpus, whatever the filter `allowed` (q, id or id alone), which is applied after them. The
-    inverse frequency has a floor just above zero.
+    corpus, whatever the filters `allowed` (q, id or id alone) and `within` (a function of the
+    hits), which are applied after them. The inverse frequency has a floor just above zero.
     """
-    exact = posts.join(asked.where("not is_prefix"), posts.term == F.col("phrase")).select("q", "phrase", "is_prefix", *id_cols, "wtf")
-    begun = posts.join(asked.where("is_prefix"), posts.prefix == F.col("phrase")).select("q", "phrase", "is_prefix", *id_cols, "wtf")
-    tf = exact.union(begun).groupBy("q", "phrase", "is_prefix", *id_cols).agg(F.sum("wtf").alias("tf"))
+    sought = asked.withColumn("begin", F.substring("phrase", 1, PREFIX))
+    tf = posts.join(sought, (F.col("prefix") == F.col("begin")) & (F.col("is_prefix") | (F.col("term") == F.col("phrase")))).groupBy("q", "phrase", "is_prefix", *id_cols, "n_tokens").agg(F.sum("wtf").alias("tf"))
     df = tf.groupBy("q", "phrase", "is_prefix").agg(F.count("*").alias("df"))
     total = sizes.agg(F.count("*").alias("n"), F.avg("n_tokens").alias("avgdl"))
     idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -40,7 +39,8 @@ def bm25(posts: DataFrame, sizes: DataFrame, asked: DataFrame, id_cols: list[str
     hits = tf.join(weight, ["q", "phrase", "is_prefix"])
     if allowed is not None:
         hits = hits.join(allowed, [c for c in ("q", *id_cols) if c in allowed.columns], "left_semi")
-    hits = hits.join(sizes, id_cols)
+    if within is not None:
+        hits = within(hits)
     part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("n_tokens") / F.col("avgdl")))
     return hits.groupBy("q", *id_cols).agg(F.sum(part).alias("score"))
 
@@ -83,35 +83,71 @@ def note_filter(organismos: Iterable[str] = (), since: str | None = None, until:
     return out
 
 
-def allowed_notes(plans: DataFrame, notes: DataFrame) -> DataFrame:
-    """(q, codigo) for plans (q, organismos, since, until), each filter applied to all notices. Only
-    plans with a filter give rows; the plans are few and are sent to the notices."""
-    p = plans.select("q", "organismos", "since", "until").where("size(organismos) > 0 or since is not null or until is not null")
-    org = fold(F.col("organismo"))
-    n = notes.select("codigo", "fecha", org.alias("org"))
-    fits = (F.size("organismos") == 0) | F.exists("organismos", lambda x: F.contains(F.col("org"), fold_sql(x)))
-    when = (F.col("since").isNull() | (F.col("fecha").cast("string") >= F.col("since"))) & (F.col("until").isNull() | (F.col("fecha").cast("string") <= F.col("until")))
-    return n.join(F.broadcast(p), fits & when).select("q", "codigo")
+#: Distinct names of agencies that may be held against those of plans, pair by pair.
+MOST_AGENCIES = 100_000
 
 
 def fold_sql(c: Column) -> Column:
-    """fold for names of western Europe, where a Python function can't stand (inside lambdas)."""
-    from ..functions.text import _ACCENTED, _STRIPPED
-
+    """fold for Latin names, where a Python function can't stand (inside lambdas)."""
     return F.translate(F.lower(c), _ACCENTED, _STRIPPED)
 
 
+_DATED = "since is not null or until is not null"
+_FILTERED = f"size(organismos) > 0 or {_DATED}"
+
+
+def _in_range(fecha: Column) -> Column:
+    day = fecha.cast("string")
+    return (F.col("since").isNull() | (day >= F.col("since"))) & (F.col("until").isNull() | (day <= F.col("until")))
+
+
+def plan_agencies(plans: DataFrame, notes: DataFrame) -> DataFrame:
+    """(q, organismo): the corpus's own names of agencies that hold the folded name of one that a
+    plan asks for. Only distinct names meet, and only if they are a vocabulary."""
+    asked = plans.select("q", F.explode("organismos").alias("a")).select("q", fold(F.col("a")).alias("asked")).distinct()
+    own = notes.select("organismo").where("organismo is not null").distinct().withColumn("own", fold(F.col("organismo")))
+    if (n := own.limit(MOST_AGENCIES + 1).count()) > MOST_AGENCIES:
+        raise ValueError(f"over {n - 1} agencies are no vocabulary")
+    alike = asked.select("asked").distinct().join(F.broadcast(own), F.contains("own", "asked")).select("asked", "organismo")
+    return asked.join(alike, "asked").select("q", "organismo").distinct()
+
+
+def allowed_notes(plans: DataFrame, notes: DataFrame) -> DataFrame:
+    """(q, codigo) for plans (q, organismos, since, until) that have a filter: by equal names of
+    agencies where they name any, else by the days of their range that the corpus has."""
+    p = plans.select("q", "organismos", "since", "until")
+    named = plan_agencies(p, notes).join(p.select("q", "since", "until"), "q")
+    by_name = notes.select("codigo", "fecha", "organismo").join(named, "organismo").where(_in_range(F.col("fecha"))).select("q", "codigo")
+    days = notes.select(F.col("fecha").cast("string").alias("day")).where("day is not null").distinct()
+    ranges = p.where(f"size(organismos) = 0 and ({_DATED})").select("q", "since", "until")
+    held = days.join(ranges, _in_range(F.col("day"))).select("q", "day")
+    by_day = notes.select("codigo", F.col("fecha").cast("string").alias("day")).join(held, "day").select("q", "codigo")
+    return by_name.union(by_day).distinct()
+
+
+def within_filters(plans: DataFrame, notes: DataFrame):
+    """Keeps hits (q, codigo, ...) whose notice passes the filters of its question's plan. Notices
+    are joined to hits by code and plans by question; nothing else meets."""
+    p = plans.select("q", "organismos", "since", "until")
+    named = plan_agencies(p, notes).withColumnRenamed("organismo", "is in")
+    facts = notes.select("codigo", "fecha", "organismo")
+
+    def keep(hits: DataFrame) -> DataFrame:
+        known = hits.join(facts, "codigo").join(p.withColumn("names", F.size("organismos") > 0).drop("organismos"), "q").where(_in_range(F.col("fecha")) | F.expr(f"not ({_DATED})"))
+        own = known.join(named.withColumn("ok", F.lit(True)), (known.q == named.q) & (F.col("organismo") == F.col("is in")), "left").where("not names or ok")
+        return own.select(*[known[c] for c in hits.columns])
+
+    return keep
+
+
 def retrieve(posts: DataFrame, sizes: DataFrame, plans: DataFrame, notes: DataFrame, k: int = 8, use_expansion: bool = True, use_prefilter: bool = True, use_prefix: bool = True, per_note: int = 2) -> DataFrame:
     """(q, rank, codigo, chunk_ix, score, bm25) for plans (q, terms, expansions, organismos, since,
     until): a literal run and, where expansions add words, an expanded one, each 3k deep; fused by
     reciprocal rank where there are two; then the cap by notice; then k."""
     ids = ["codigo", "chunk_ix"]
-    allowed, open_ = None, plans.select("q")
-    if use_prefilter:
-        free = plans.where("size(organismos) = 0 and since is null and until is null").select("q")
-        allowed = allowed_notes(plans, notes).union(free.join(notes.select("codigo"))) if not free.isEmpty() else allowed_notes(plans, notes)
+    within = within_filters(plans, notes) if use_prefilter else None
     literal = phrases(plans, "terms", use_prefix)
-    run = lambda asked: top_k(bm25(posts, sizes, asked, ids, allowed), 3 * k, ids)
+    run = lambda asked: top_k(bm25(posts, sizes, asked, ids, within=within), 3 * k, ids)
     first = run(literal)
     if use_expansion:
         more = phrases(plans.withColumn("all", F.concat("terms", F.flatten(F.map_values("expansions")))), "all", use_prefix)

@@ -367,7 +367,8 @@ def questions(spark, sf, prefix: bool = True) -> DataFrame:
 
 def ranked(spark, sf, k: int = 10, prefix: bool = True, allowed: DataFrame | None = None) -> DataFrame:
     w = whole(spark, sf)
-    s = retrieve.bm25(index.postings(w, ["codigo"]), index.lengths(w, ["codigo"]), questions(spark, sf, prefix), ["codigo"], allowed)
+    asked = questions(spark, sf, prefix)
+    s = retrieve.bm25(index.postings(w, ["codigo"], only=asked), index.lengths(w, ["codigo"]), asked, ["codigo"], allowed)
     return retrieve.top_k(s.withColumn("score", F.round("score", 6)), k, ["codigo"])
 
 
