@@ -68,14 +68,20 @@ def update_silver(spark: SparkSession, lake: Lake, metadata_only: bool = False)
     keys, order = (["codigo", "revision"], ["revision"]) if metadata_only else (["codigo", "revision", "body_hash"], ["revision", "effective_date", "body_hash"])
     slim = brackets(first_sightings(bronze.select(*keys, "_snapshot_date"), keys), order=order)
     row = lambda df: df.select("codigo", F.xxhash64(*keys, "valid_from", "valid_to", "is_current").alias("h"))
+    # settled once, as a version of its own beside silver: it is read for the test and for both sides of the update
     touched = row(slim).join(row(have), ["codigo", "h"], "left_anti").select("codigo").union(row(have).join(row(slim), ["codigo", "h"], "left_anti").select("codigo")).distinct()
+    aside = Table(spark, lake.path("silver", "touched"))
+    aside.replace(touched)
+    touched = aside.read()
     if touched.isEmpty():
+        aside.drop()
         return 0
     want = silver_from(bronze.join(touched, "codigo", "left_semi"), metadata_only)
     known = have.select(*[F.col(k).alias(f"known {k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"`known {k}`")) for k in keys]
     new = want.select(*keys).join(known, same, "left_anti").count()
     table.upsert(want, ["codigo"])
+    aside.drop()
     return new
 
 
@@ -144,7 +150,16 @@ def lake_stats(spark: SparkSession, lake: Lake) -> dict[str, int]:
     return out
 
 
+def publish_lake(spark: SparkSession, lake: Lake) -> list[str]:
+    """Makes the newest version of every table readable by its name; returns the names."""
+    tables = [("bronze", "notas_snapshot"), ("silver", "notas"), *[("gold", n) for n in ("amendments_by_organismo", "monthly_activity", "correction_feed")]]
+    there = [(lake.name(*t), Table(spark, lake.path(*t))) for t in tables]
+    return [name for name, table in there if table.exists() and table.publish(name) is not None]
+
+
 def run_lake(spark: SparkSession, lake: Lake, pattern: str) -> dict:
-    """Bronze, silver and gold in turn."""
+    """Bronze, silver and gold in turn, then their names."""
     loaded = load_bronze(spark, lake, pattern)
-    return {**loaded, "merged": update_silver(spark, lake), "gold": update_gold(spark, lake)}
+    out = {**loaded, "merged": update_silver(spark, lake), "gold": update_gold(spark, lake)}
+    publish_lake(spark, lake)
+    return out

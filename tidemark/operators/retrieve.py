@@ -46,8 +46,9 @@ def bm25(posts: DataFrame, sizes: DataFrame, asked: DataFrame, id_cols: list[str
 
 
 def top_k(scored: DataFrame, k: int, id_cols: list[str], score: str = "score") -> DataFrame:
-    """The k best of each question, ties by id, with their rank."""
-    w = Window.partitionBy("q").orderBy(F.desc(score), *id_cols)
+    """The k best of each question, ties by id, with their rank. Scores are held against each other
+    to nine places, so that copies tie whatever the order of their sums."""
+    w = Window.partitionBy("q").orderBy(F.desc(F.round(score, 9)), *id_cols)
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -158,7 +159,7 @@ def retrieve(posts: DataFrame, sizes: DataFrame, plans: DataFrame, notes: DataFr
         scored = both.union(alone)
     else:
         scored = first.select("q", *ids, "score", F.col("score").alias("bm25"), F.lit(0).alias("run"), F.col("rank").alias("run_rank"))
-    w = Window.partitionBy("q").orderBy(F.desc("score"), "run", "run_rank", *ids)
+    w = Window.partitionBy("q").orderBy(F.desc(F.round("score", 9)), "run", "run_rank", *ids)
     ranked = cap_per_note(scored.withColumn("rank", F.row_number().over(w)), per_note)
     again = Window.partitionBy("q").orderBy("rank")
     return ranked.withColumn("rank", F.row_number().over(again)).where(F.col("rank") <= k).select("q", "rank", *ids, "score", "bm25")

@@ -30,7 +30,23 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def name(self, layer: str, table: str) -> str:
-        """A table name that no other root shares: locally it ends in a digest of the root."""
+        """A table's name that no other root shares: locally it ends in a digest of the root."""
         if self.catalog:
             return f"{self.catalog}.{layer}.{table}"
         return f"{layer}_{table}_{hashlib.md5(os.path.abspath(self.root).encode()).hexdigest()[:8]}"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; only where that is unset and the master is local, a
+    temporary one, which is set."""
+    import re
+    import tempfile
+
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        base = sc.getCheckpointDir()
+    return base.rstrip("/")

@@ -74,6 +74,15 @@ class Table:
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
         return reader.parquet(*[f"{self.path}/{d}" for d in history[n]["dirs"]])
 
+    def publish(self, name: str) -> DataFrame:
+        """The newest version under a name: a catalog's table for a dotted one, else a view of the session."""
+        df = self.read()
+        if "." in name:
+            df.write.mode("overwrite").saveAsTable(name)
+        else:
+            df.createOrReplaceTempView(name)
+        return self.spark.table(name)
+
     def _write(self, df: DataFrame, partition_by: tuple[str, ...]) -> str:
         name = f"data-{uuid.uuid4().hex}"
         if self.schema is not None:
@@ -105,9 +114,10 @@ class Table:
         one = staged.groupBy(*keys).agg(F.min(F.struct(*others)).alias("row")).select(*keys, "row.*")
         if self.exists():
             one = one.join(self.read().select(*keys), keys, "left_anti")
-        before = 0 if not self.exists() else self.read().count()
+        before = len(self._history()[-1]["dirs"]) if self.exists() else 0
         self.append(one)
-        return (self.read().count() if self.exists() else 0) - before
+        added = self._history()[-1]["dirs"][before:] if self.exists() else []
+        return self.spark.read.parquet(*[f"{self.path}/{d}" for d in added]).count() if added else 0
 
     def upsert(self, changed: DataFrame, keys: list[str]) -> int:
         """Rows of changed take the place of those with equal keys."""
