@@ -154,7 +154,9 @@ class Model:
         return loss, [back_through(x, self.ways[0], kept[0], ds[:, :u]), back_through(y, self.ways[1], kept[1], db), top]
 
     def train(self, texts: list[bytes], labels: np.ndarray, steps: int, rows: int = 256, size: int = TRAIN_BYTES, rate: float = 0.02, seed: int = 11) -> list[float]:
-        """Adam over windows of `size` bytes, drawn evenly from all positions of each language's texts."""
+        """Adam over windows of `size` bytes of each language's texts: half are drawn evenly from all
+        positions, half evenly from the texts and then from a text's positions, so that short and
+        odd texts are learned too."""
         rng, weights = np.random.default_rng(seed), [*self.ways, self.top]
         m, v, losses = [{k: np.zeros_like(x) for k, x in w.items()} for w in weights], [{k: np.zeros_like(x) for k, x in w.items()} for w in weights], []
         own = [np.flatnonzero(labels == i) for i in range(len(self.langs))]
@@ -163,10 +165,11 @@ class Model:
         for step in range(1, steps + 1):
             pick = []
             for ix, end in zip(own, ends):
-                for place in rng.integers(0, end[-1], each).tolist():
-                    k = int(np.searchsorted(end, place, "right"))
-                    text = texts[ix[k]]
-                    start = max(0, min(place - (int(end[k - 1]) if k else 0), len(text) - size))
+                places = rng.integers(0, end[-1], each - each // 2)
+                k = np.concatenate([np.searchsorted(end, places, "right"), rng.integers(0, len(ix), each // 2)])
+                at = np.concatenate([places - np.append(0, end)[k[: len(places)]], rng.random(each // 2) * np.diff(end, prepend=0)[k[len(places) :]]]).astype(np.int64)
+                for text, start in zip((texts[ix[i]] for i in k), at.tolist()):
+                    start = max(0, min(start, len(text) - size))
                     pick.append(text[start : start + size])
             loss, grads = self.gradients(pick, np.repeat(np.arange(len(own)), each))
             losses.append(loss)
@@ -184,7 +187,7 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = 1200, steps: int = 300) -> Model:
+def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = 1200, steps: int = 500) -> Model:
     """Learns from rows outside the held-out fold with a language and a text. Of each language
     about rows / (number of languages) rows are used, chosen by a hash of id and text at a rate
     that counts over all rows set, and their whole texts; that bound is all that the driver gets.
