@@ -43,7 +43,7 @@ def test_two_days_and_again(spark, tmp_path):
     ops.update_gold(spark, lake)
     mart = {r["organismo"]: r for r in Table(spark, lake.path("gold", "amendments_by_organismo")).read().collect()}
     assert len(mart) == 2
-    assert (mart["SHCP"]["notas"], mart["SHCP"]["amended"], mart["SHCP"]["amendment_rate"], mart["SHCP"]["avg_days_to_correction"]) == (1, 1, 1.0, 4.0)
+    assert (mart["SHCP"]["notas"], mart["SHCP"]["amended"], mart["SHCP"]["amendment_rate"], mart["SHCP"]["avg_days_to_correction"], mart["SHCP"]["days_since_seen"]) == (1, 1, 1.0, 5.0, 4.0)
     assert ops.broken_invariants(ops.silver_table(spark, lake).read()).count() == 0
     stats = ops.lake_stats(spark, lake)
     assert (stats["bronze_rows"], stats["snapshots"], stats["silver_rows"], stats["current"], stats["amendments_by_organismo"]) == (4, 2, 3, 2, 2)
