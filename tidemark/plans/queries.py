@@ -337,7 +337,9 @@ def html_links(spark, sf):
     return e.groupBy(F.col("page").alias("page_id")).agg(F.count("*").alias("n_links"), F.min_by("href", "pos").alias("first_href"))
 
 
-@query()
+@query(r"""with a as (select page_id, html, regexp_replace(regexp_replace(html, '<!--.*?-->|<!DOCTYPE[^>]*>', '', 'gs'), '<head>.*?</head>|<(script|style|noscript|nav|header|footer|form)[\s>].*?</(script|style|noscript|nav|header|footer|form)\s*>', '', 'gs') as x from pages),
+b as (select page_id, html, replace(replace(replace(replace(replace(replace(regexp_replace(x, '</?[a-zA-Z][^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&nbsp;', ' '), '&amp;', '&') as x from a)
+select page_id, case when html is null then '' else trim(regexp_replace(nfc_normalize(x), '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) end as body from b""")
 def html_body_text(spark, sf):
     return t(spark, sf, "pages").select("page_id", html.body_text(F.col("html")).alias("body"))
 
@@ -375,8 +377,17 @@ def doc_notes(spark, sf) -> DataFrame:
     return d.select(F.col("doc_id").alias("codigo"), F.col("source").alias("titulo"), F.col("lang").alias("organismo"), F.lit(None).cast("string").alias("content_hash"), F.lit(None).cast("string").alias("body_hash"), F.col("text").alias("body_text"))
 
 
-@query()
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query(f"""with x as (select doc_id as codigo, trim(text, {_BLANKS}) as body from documents where length(trim(text, {_BLANKS})) > 0),
+k as (select *, length(body) as n, case when length(body) <= 1200 then 0 else (length(body) - 1200 + 1049) // 1050 end as last from x),
+p as (select codigo, body, n, unnest(range(0, last + 1)) as i, last from k),
+q as (select codigo, body, n, 1050 * i as a, case when i < last then 1050 * i + 1200 else n end as b, trim(substr(body, (1050 * i + 1)::bigint, (case when i < last then 1200 else n - 1050 * i end)::bigint), {_BLANKS}) as said from p),
+kept as (select codigo, a, b, said from q where length(said) >= 40 union all select codigo, 0, n, body from q group by codigo, n, body having count(*) filter (length(said) >= 40) = 0)
+select codigo, (row_number() over (partition by codigo order by a) - 1)::bigint as chunk_ix, a::bigint as char_start, b::bigint as char_end, md5(said) as passage from kept""")
 def chunk_structural(spark, sf):
+    """Documents have neither section heads nor blank lines, so the SQL knows the last tier only."""
     return index.chunk(doc_notes(spark, sf)).select("codigo", "chunk_ix", "char_start", "char_end", F.md5("texto").alias("passage"))
 
 
