@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 UNITS = 8
 #: A direction runs over a text in windows of STEP bytes side by side, each from WARM bytes before.
 #: Where the states of two windows differ by more than SEAM where they meet, the later one is run
-#: again from the state that the earlier one ends with, until all meet.
+#: again from the state that the earlier one ends with, as far as its states change, until all meet.
 STEP, WARM, SEAM = 512, 64, 0.01
+#: Bytes from one place to the next where a window that is run again may stop.
+MARK = 32
 #: Windows that run side by side, and bytes that are taken at once (a longer text is taken whole).
 LANES, BYTES_AT_ONCE = 2048, 2_000_000
 #: Bytes of a training window.
@@ -76,23 +78,38 @@ def along(data: np.ndarray, cut: np.ndarray, w: dict[str, np.ndarray], top: np.n
     size = np.minimum(step, cut[text + 1] - start)
     head = start == cut[text]
     begin, end = np.zeros((u, len(start)), np.float32), np.empty((u, len(start)), np.float32)
+    marks = np.empty((-(-step // MARK), u, len(start)), np.float32)
 
-    def run(which: np.ndarray, given: bool) -> None:
+    def run(which: np.ndarray, given: bool, again: bool = False) -> np.ndarray:
+        """Runs windows, from their given states or from `warm` bytes before. A window that is run
+        again stops where it meets its former run. Returns those that ran to their ends."""
+        whole = []
         for a in range(0, len(which), LANES):
             own = which[a : a + LANES]
             own = own[np.argsort(-size[own], kind="stable")]
-            first, lasts = start[own], size[own]
             h = begin[:, own] if given else np.zeros((u, len(own)), np.float32)
-            for t in range(0 if given else -warm, int(lasts[0])):
+            t = 0 if given else -warm
+            while len(own):
                 if t == 0 and not given:
                     begin[:, own] = h
-                m = np.searchsorted(-lasts, -t) if t > 0 else len(own)
-                h = _cell(w["x"].take(data[first[:m] + t], 1), h[:, :m], w)[0]
-                if t >= 0:
-                    out[:, first[:m] + t] = top @ h
-                    done = np.searchsorted(-lasts, -(t + 1))
-                    if done < m:
-                        end[:, own[done:m]] = h[:, done:]
+                if t >= 0 and t % MARK == 0:
+                    if again and t:
+                        apart = np.abs(h - marks[t // MARK][:, own]).max(0) > seam / 2
+                        own, h = own[apart], h[:, apart]
+                        if not len(own):
+                            break
+                    marks[t // MARK][:, own] = h
+                at = start[own] + t
+                h = _cell(w["x"].take(data[at], 1), h, w)[0]
+                t += 1
+                if t > 0:
+                    out[:, at] = top @ h
+                    m = len(own) if size[own[-1]] > t else int(np.searchsorted(-size[own], -t))
+                    if m < len(own):
+                        end[:, own[m:]] = h[:, m:]
+                        whole.append(own[m:])
+                        own, h = own[:m], h[:, :m]
+        return np.concatenate(whole) if whole else which[:0]
 
     run(np.flatnonzero(head), True)
     later = np.flatnonzero(~head)
@@ -100,7 +117,7 @@ def along(data: np.ndarray, cut: np.ndarray, w: dict[str, np.ndarray], top: np.n
     while len(later):
         later = later[np.abs(begin[:, later] - end[:, later - 1]).max(0) > seam]
         begin[:, later] = end[:, later - 1]
-        run(later, True)
+        later = np.sort(run(later, True, True))
         later = later[later + 1 < len(start)] + 1
         later = later[~head[later]]
     return out
