@@ -28,21 +28,22 @@ def bm25(posts: DataFrame, sizes: DataFrame, asked: DataFrame, id_cols: list[str
 
     Document frequencies, the number of passages and their mean length are those of the whole
     corpus, whatever the filters `allowed` (q, id or id alone) and `within` (a function of the
-    hits), which are applied after them. The inverse frequency has a floor just above zero.
+    scored hits), which are applied after them. The inverse frequency has a floor just above zero.
+    What a phrase gives a passage is worked out once for all questions that have the phrase.
     """
-    sought = asked.withColumn("begin", F.substring("phrase", 1, PREFIX))
-    tf = posts.join(sought, (F.col("prefix") == F.col("begin")) & (F.col("is_prefix") | (F.col("term") == F.col("phrase")))).groupBy("q", "phrase", "is_prefix", *id_cols, "n_tokens").agg(F.sum("wtf").alias("tf"))
-    df = tf.groupBy("q", "phrase", "is_prefix").agg(F.count("*").alias("df"))
+    ways = ["phrase", "is_prefix"]
+    sought = asked.select(*ways).distinct().withColumn("begin", F.substring("phrase", 1, PREFIX))
+    tf = posts.join(sought, (F.col("prefix") == F.col("begin")) & (F.col("is_prefix") | (F.col("term") == F.col("phrase")))).groupBy(*ways, *id_cols, "n_tokens").agg(F.sum("wtf").alias("tf"))
+    df = tf.groupBy(*ways).agg(F.count("*").alias("df"))
     total = sizes.agg(F.count("*").alias("n"), F.avg("n_tokens").alias("avgdl"))
     idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = df.join(F.broadcast(total)).select("q", "phrase", "is_prefix", F.when(idf <= 0, 1e-6).otherwise(idf).alias("idf"), "avgdl")
-    hits = tf.join(weight, ["q", "phrase", "is_prefix"])
+    weight = df.join(F.broadcast(total)).select(*ways, F.when(idf <= 0, 1e-6).otherwise(idf).alias("idf"), "avgdl")
+    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("n_tokens") / F.col("avgdl")))
+    scored = tf.join(weight, ways).select(*ways, *id_cols, part.alias("part"))
+    hits = scored.join(asked.select("q", *ways), ways).groupBy("q", *id_cols).agg(F.sum("part").alias("score"))
     if allowed is not None:
         hits = hits.join(allowed, [c for c in ("q", *id_cols) if c in allowed.columns], "left_semi")
-    if within is not None:
-        hits = within(hits)
-    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("n_tokens") / F.col("avgdl")))
-    return hits.groupBy("q", *id_cols).agg(F.sum(part).alias("score"))
+    return hits if within is None else within(hits)
 
 
 def top_k(scored: DataFrame, k: int, id_cols: list[str], score: str = "score") -> DataFrame:
