@@ -665,3 +665,27 @@ def test_substring_hot_passage(spark):
     assert {x["doc_id"] for x in got if x["start_word"] <= 20 and x["end_word"] >= 90} == set(range(2000))
     assert all(15 <= x["start_word"] and x["end_word"] <= 95 for x in got)
     assert len(got) < 4 * 2000 and max(x["n_links"] for x in got) < 10
+
+
+def test_substring_lowest_threshold(spark):
+    """Near-duplicates at the threshold (50 words, 5 exchanged; 60 words, 6 exchanged) with runs of 7
+    or 8 words, beside a third text that comes first for what they share: none is left out."""
+    texts, pairs = [], []
+    for f in range(40):
+        n, edits = (50, range(7, 50, 8)) if f % 2 else (60, range(8, 60, 9))
+        p = prose(40_000 + f, n).split()
+        for i in [*edits][: n // 10]:
+            p[i] = f"own{f}x{i}"
+        q = [f"other{f}x{i}" if w.startswith("own") else w for i, w in enumerate(p)]
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [prose(50_000 + 3 * f + k, 60) + " " + " ".join(w) + " " + prose(60_000 + 3 * f + k, 60) for k, w in enumerate((p, q, p[:20] + q[30:50]))]
+    links = {(x["doc_id"], x["other_id"]) for x in substring.repeated_passages(docs(spark, texts)).collect()}
+    assert [p for p in pairs if p not in links or p[::-1] not in links] == []
+
+
+def test_substring_words_over_and_over(spark):
+    """Texts of repeated words in which only one place of the repeats fits."""
+    words = lambda *runs: " ".join(w for w, n in runs for _ in range(n))
+    tail = prose(70_000, 35)
+    texts = [words(("a", 30), ("b", 12)), words(("a", 24)) + " " + tail + " " + prose(70_001, 60), words(("c", 20), ("a", 70)) + " " + tail + " " + prose(70_002, 60)]
+    assert {(x["doc_id"], x["other_id"]) for x in substring.repeated_passages(docs(spark, texts)).collect()} == {(1, 2), (2, 1)}
