@@ -689,3 +689,36 @@ def test_substring_words_over_and_over(spark):
     tail = prose(70_000, 35)
     texts = [words(("a", 30), ("b", 12)), words(("a", 24)) + " " + tail + " " + prose(70_001, 60), words(("c", 20), ("a", 70)) + " " + tail + " " + prose(70_002, 60)]
     assert {(x["doc_id"], x["other_id"]) for x in substring.repeated_passages(docs(spark, texts)).collect()} == {(1, 2), (2, 1)}
+
+
+def runs_table(texts):
+    """Contexts, as substring's last step gets them, of the key of five times the word 1: all places
+    in runs of at least eight of it, all open."""
+    import pyarrow as pa
+
+    rows, side = [], substring.WIDE
+    for r, runs in enumerate(texts):
+        words = [w for w, n in runs for _ in range(n)]
+        padded = [0] * side + words + [0] * (side + substring.GRAM)
+        rows += [(r, p, bytes(padded[p : p + 2 * side + substring.GRAM])) for p in range(len(words) - 7) if set(words[p : p + 8]) == {1}]
+    zeros = pa.array(np.zeros(len(rows), np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(np.ones(len(rows), np.int64)), zeros, zeros, zeros, pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int32()), pa.array([True] * len(rows)), pa.array([x[2] for x in rows], pa.binary())], names=["key", "i", "j", "part", "r", "pivot", "open", "codes"])
+
+
+def test_substring_runs_cost(monkeypatch):
+    """Runs of one word in texts of runs: those that match are linked, and few of the pairs of their
+    places are aligned."""
+    aligned, old = [0], substring.agree
+
+    def counted(a, b, *how):
+        aligned[0] += len(a)
+        return old(a, b, *how)
+
+    monkeypatch.setattr(substring, "agree", counted)
+    n, r = 150, random.Random(90)
+    texts = [[(2 + r.randrange(200), 20 + t % 25), (1, 20 + t % 25), (2 + r.randrange(200), 20 + t % 25)] for t in range(n)]
+    texts += [[(201, 10), (1, 40), (202, 30)], [(203, 33), (1, 40), (202, 21)], [(204, 9), (1, 46), (205, 7)], [(206, 9), (1, 80)], [(207, 3), (1, 60), (208, 30)]]
+    found = [x for b in substring._across(substring.LEAST, substring.SHORT)(iter([runs_table(texts)])) for x in b.to_pylist()]
+    links = {frozenset((x["r"], x["first_r"])) for x in found if max(x["n"], x["first_n"]) >= substring.LEAST}
+    assert {frozenset((n, n + 1)), frozenset((n + 2, n + 3)), frozenset((n + 3, n + 4))} <= links
+    assert aligned[0] < 2000
