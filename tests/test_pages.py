@@ -4,9 +4,11 @@ import random
 from datetime import UTC, datetime
 
 import pytest
+from conftest import same_rows
 from pyspark.sql import functions as F
 
 from tidemark.functions import html
+from tidemark.plans.queries import ORACLE_SQL, QUERIES
 from tidemark.sources import fetch
 
 PAGE = """<html><body><table>
@@ -34,6 +36,15 @@ def test_body(spark):
     assert [r[0] for r in df.select(html.body_text(F.col("h"))).collect()] == ["Uno dos tres fin", ""]
 
 
+def test_body_of_a_cut_head(spark, oracle, tmp_path):
+    cut = [f"<html><head><title>a &amp;&{x}</title></head><body><nav>n</nav><h1>a &amp;&{x}</h1><p>b &amp;lt; &#x27;&lt;</p></body></html>" for x in ("amp", "am", "a", "quot", "quo", "lt", "copy", "", "#x2", "amp;")]
+    spark.createDataFrame(list(enumerate(cut)), "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    own = oracle.cursor()
+    own.execute(f"create temp view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    same_rows(QUERIES["html_body_text"](spark, str(tmp_path)), own, ORACLE_SQL["html_body_text"])
+    assert spark.createDataFrame([(cut[0],)], "h string").select(html.body_text(F.col("h"))).head()[0].startswith("a &&b")
+
+
 def test_decode(spark):
     meta = b'<meta charset="iso-8859-1">'
     assert html.decode_bytes("ñ".encode(), None) == "ñ" and html.decode_bytes(meta + "ñ".encode()).endswith("ñ")

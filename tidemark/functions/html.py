@@ -112,6 +112,12 @@ def _visible(pages: pd.Series) -> pd.Series:
     return pages.map(one)
 
 
+def whole_references(html: Column) -> Column:
+    """Markup in which a character reference without its semicolon is text, as where a page was cut
+    after it was escaped: a parser would read `&amp` as `&`."""
+    return F.regexp_replace(html, r"&(?!(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);)", "&amp;")
+
+
 def body_text(html: Column) -> Column:
     """The canonical text of a notice's page without chrome and volatile passages."""
     text = F.pandas_udf(_visible, "string")(html)
