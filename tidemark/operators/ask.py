@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from . import route
 from .answer import LEAST_SCORE, answer, extractive
-from .index import lengths, postings
-from .retrieve import coverage, phrases, retrieve
+from .retrieve import coverage, retrieve
 
 IDS = ["codigo", "chunk_ix"]
 
@@ -35,16 +34,12 @@ def ask(questions: DataFrame, notes: DataFrame, chunks: DataFrame, provider: Cal
 
     Each is routed by the corpus's own agencies, refused where the corpus doesn't cover it, then
     counted or listed exactly, or answered by the provider from the passages that are found; what
-    it cites must have been shown. Only postings of words that are asked for are built. options
-    are those of retrieve.
+    it cites must have been shown. Passages are scored where they lie. options are those of retrieve.
     """
     covered = coverage(notes)
     known = [o for o in (covered.head()["organismos"] or []) if o is not None]
     plans = route.plan(questions, known, lists_count)
-    every = plans.withColumn("all", F.concat("terms", F.flatten(F.map_values("expansions"))))
-    sought = phrases(every, "all", options.get("use_prefix", True)).union(phrases(plans, "terms", options.get("use_prefix", True)))
-    posts, sizes = postings(chunks, IDS, folded, only=sought), lengths(chunks, IDS, folded)
-    found = retrieve(posts, sizes, plans.where("strategy != 'sql'"), notes, k, **options)
+    found = retrieve(None, None, plans.where("strategy != 'sql'"), notes, k, chunks=chunks, folded=folded, **options)
     hits = found.join(chunks.select(*IDS, "texto"), IDS)
     return Asked(plans, hits, answer(plans, covered, notes, hits, provider, least_score))
 

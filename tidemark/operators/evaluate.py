@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from ..functions import scan
 from .answer import extractive
 from .ask import ask, no_answers
 from .index import ChunkRule, chunk
@@ -25,6 +29,23 @@ ABLATIONS = {
 }
 
 
+def containing(notes: DataFrame, passages: DataFrame) -> DataFrame:
+    """(q, codigo): which notes (codigo, text) contain which passages (q, passage). The passages are
+    sent to all tasks; a note is read once for all of them."""
+    rows = [(q, p) for q, p in passages.select("q", "passage").collect() if p is not None]
+    sought = scan.Passages([p for _, p in rows])
+    own = {f.name: f.dataType for f in (*notes.schema.fields, *passages.schema.fields)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = pa.array([q for q, _ in rows], to_arrow_type(own["q"]))
+        for batch in batches:
+            for piece in scan.pieces(batch, ["text"]):
+                texts, which = sought.found(piece.column("text"))
+                yield pa.RecordBatch.from_arrays([q.take(pa.array(which)), piece.column("codigo").take(pa.array(texts))], ["q", "codigo"])
+
+    return notes.select("codigo", "text").mapInArrow(run, T.StructType([T.StructField("q", own["q"]), T.StructField("codigo", own["codigo"])]))
+
+
 def question_results(gold: DataFrame, corpus: DataFrame, plans: DataFrame, retrieved: DataFrame, answers: DataFrame | None = None) -> DataFrame:
     """A row per question: id, kind, skipped, routed, recall, hit, refused, and with answers their
     citations' precision and recall.

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import _ACCENTED, _STRIPPED, fold, shortened
-from .index import PREFIX
+from . import inplace
+from .index import PREFIX, WEIGHTS, lengths, postings
 
 K1, B, DAMPING = 1.2, 0.75, 60
 
@@ -46,10 +48,48 @@ def bm25(posts: DataFrame, sizes: DataFrame, asked: DataFrame, id_cols: list[str
     return hits if within is None else within(hits)
 
 
-def top_k(scored: DataFrame, k: int, id_cols: list[str], score: str = "score") -> DataFrame:
+def best_hits(chunks: DataFrame, runs: list[DataFrame], id_cols: list[str], k: int, allowed: DataFrame | None = None, plans: DataFrame | None = None, notes: DataFrame | None = None, folded: bool = True, places: int = 9) -> DataFrame:
+    """(run, q, id, score, rank): the k best passages by bm25 of each question (q, phrase, is_prefix)
+    of each run, with frequencies of all chunks; filters are allowed (id) and plans over notes.
+
+    The questions are measured, then sent to all tasks, which read the passages twice: for the
+    frequencies, then for the scores, of which only each task's best are shuffled. A question set
+    that is too large to be sent goes by postings.
+    """
+    asked = inplace.asked_of(runs)
+    filters = None
+    if asked is not None and plans is not None:
+        filters = _filters(asked, plans, notes)
+    if asked is None or (plans is not None and filters is None):
+        within = None if plans is None else within_filters(plans, notes)
+        every = [bm25(postings(chunks, id_cols, folded, only=r), lengths(chunks, id_cols, folded), r, id_cols, allowed, within).select(F.lit(i).alias("run"), "q", *id_cols, "score") for i, r in enumerate(runs)]
+        scored = every[0]
+        for e in every[1:]:
+            scored = scored.union(e)
+        return top_k(scored, k, id_cols, places=places, of=["run", "q"])
+    df, n, avgdl = inplace.statistics(chunks, asked, WEIGHTS, folded)
+    idf = np.log((n - df + 0.5) / (df + 0.5))
+    if allowed is not None:
+        chunks = chunks.join(allowed, id_cols, "left_semi")
+    if filters is not None:
+        facts = notes.select("codigo", F.col("organismo").alias("its agency"), F.col("fecha").cast("string").alias("its day"))
+        chunks = chunks.join(facts, "codigo")
+    found = inplace.best(chunks, id_cols, asked, k, np.where(idf <= 0, 1e-6, idf), avgdl, K1, B, WEIGHTS, folded, filters, places, runs[0].schema["q"].dataType)
+    return top_k(found, k, id_cols, places=places, of=["run", "q"])
+
+
+def _filters(asked: inplace.Asked, plans: DataFrame, notes: DataFrame) -> inplace.Filters | None:
+    p = plans.select("q", "organismos", "since", "until")
+    named = plan_agencies(p, notes).limit(inplace.MOST_NAMED + 1).collect()
+    if len(named) > inplace.MOST_NAMED:
+        return None
+    return inplace.Filters(asked.questions, p.select("q", F.size("organismos") > 0, "since", "until").collect(), named)
+
+
+def top_k(scored: DataFrame, k: int, id_cols: list[str], score: str = "score", places: int = 9, of: list[str] | None = None) -> DataFrame:
     """The k best of each question, ties by id, with their rank. Scores are held against each other
     to nine places, so that copies tie whatever the order of their sums."""
-    w = Window.partitionBy("q").orderBy(F.desc(F.round(score, 9)), *id_cols)
+    w = Window.partitionBy(*(of or ["q"])).orderBy(F.desc(F.round(score, places)), *id_cols)
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -66,7 +106,12 @@ def rrf(runs: list[DataFrame], id_cols: list[str], damping: int = DAMPING) -> Da
     every = tagged[0]
     for r in tagged[1:]:
         every = every.unionByName(r)
-    return every.groupBy("q", *id_cols).agg(F.sum(1.0 / (damping + F.col("rank"))).alias("score"), F.min(F.struct("run", "rank", "s")).alias("first")).select("q", *id_cols, "score", F.col("first.s").alias("bm25"), F.col("first.run").alias("run"), F.col("first.rank").alias("run_rank"))
+    return fused(every, id_cols, damping)
+
+
+def fused(every: DataFrame, id_cols: list[str], damping: int = DAMPING, s: str = "s") -> DataFrame:
+    """rrf of runs that are one table (run, q, id, rank, s)."""
+    return every.groupBy("q", *id_cols).agg(F.sum(1.0 / (damping + F.col("rank"))).alias("score"), F.min(F.struct("run", "rank", F.col(s).alias("s"))).alias("first")).select("q", *id_cols, "score", F.col("first.s").alias("bm25"), F.col("first.run").alias("run"), F.col("first.rank").alias("run_rank"))
 
 
 def note_filter(organismos: Iterable[str] = (), since: str | None = None, until: str | None = None, organismo: str = "organismo", fecha: str = "fecha") -> Column:
@@ -142,24 +187,31 @@ def within_filters(plans: DataFrame, notes: DataFrame):
     return keep
 
 
-def retrieve(posts: DataFrame, sizes: DataFrame, plans: DataFrame, notes: DataFrame, k: int = 8, use_expansion: bool = True, use_prefilter: bool = True, use_prefix: bool = True, per_note: int = 2) -> DataFrame:
+def retrieve(posts: DataFrame | None, sizes: DataFrame | None, plans: DataFrame, notes: DataFrame, k: int = 8, use_expansion: bool = True, use_prefilter: bool = True, use_prefix: bool = True, per_note: int = 2, chunks: DataFrame | None = None, folded: bool = True) -> DataFrame:
     """(q, rank, codigo, chunk_ix, score, bm25) for plans (q, terms, expansions, organismos, since,
     until): a literal run and, where expansions add words, an expanded one, each 3k deep; fused by
-    reciprocal rank where there are two; then the cap by notice; then k."""
+    reciprocal rank where there are two; then the cap by notice; then k. Passages are sought by
+    their postings, or in chunks themselves."""
     ids = ["codigo", "chunk_ix"]
-    within = within_filters(plans, notes) if use_prefilter else None
     literal = phrases(plans, "terms", use_prefix)
-    run = lambda asked: top_k(bm25(posts, sizes, asked, ids, within=within), 3 * k, ids)
-    first = run(literal)
+    runs, wider = [literal], None
     if use_expansion:
         more = phrases(plans.withColumn("all", F.concat("terms", F.flatten(F.map_values("expansions")))), "all", use_prefix)
         wider = more.groupBy("q").count().join(literal.groupBy("q").count().withColumnRenamed("count", "n"), "q", "left").where("n is null or count > n").select("q")
-        second = run(more.join(wider, "q", "left_semi"))
-        both = rrf([first.join(wider, "q", "left_semi"), second], ids)
-        alone = first.join(wider, "q", "left_anti").select("q", *ids, "score", F.col("score").alias("bm25"), F.lit(0).alias("run"), F.col("rank").alias("run_rank"))
-        scored = both.union(alone)
+        runs.append(more.join(wider, "q", "left_semi"))
+    if chunks is not None:
+        every = best_hits(chunks, runs, ids, 3 * k, plans=plans if use_prefilter else None, notes=notes, folded=folded)
+    else:
+        within = within_filters(plans, notes) if use_prefilter else None
+        tops = [top_k(bm25(posts, sizes, r, ids, within=within), 3 * k, ids).select(F.lit(i).alias("run"), "q", *ids, "score", "rank") for i, r in enumerate(runs)]
+        every = tops[0]
+        for t in tops[1:]:
+            every = every.union(t)
+    scored = fused(every, ids, s="score")
+    if wider is None:
+        scored = scored.withColumn("score", F.col("bm25"))
     else:
-        scored = first.select("q", *ids, "score", F.col("score").alias("bm25"), F.lit(0).alias("run"), F.col("rank").alias("run_rank"))
+        scored = scored.join(F.broadcast(wider.withColumn("wider", F.lit(True))), "q", "left").withColumn("score", F.when(F.col("wider"), F.col("score")).otherwise(F.col("bm25"))).drop("wider")
     w = Window.partitionBy("q").orderBy(F.desc(F.round("score", 9)), "run", "run_rank", *ids)
     ranked = cap_per_note(scored.withColumn("rank", F.row_number().over(w)), per_note)
     again = Window.partitionBy("q").orderBy("rank")
