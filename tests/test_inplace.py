@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pyarrow as pa
 import pytest
@@ -81,6 +82,35 @@ def test_filters(spark, chunks, asked, monkeypatch):
     assert one() == got
 
 
+def test_chunks_are_those_of_the_rule(spark):
+    rng = random.Random(3)
+    parts = ["ARTÍCULO PRIMERO. ", "ARTICULO 5 ", "TITULO ", "ANEXO", "TRANSITORIOS ", "\n", "\n\n", "\n \x1c\n", " ", "\xa0", "\x1c", "\x85", "\r\n", "palabra ", "ñandú " * 9, "𝔘x" * 30, "b" * 700, "z q" * 7000, " " * 1300]
+    texts = [None, "", " \n", "corto", *["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(150)]]
+    notes = spark.createDataFrame(list(enumerate(texts)), "codigo long, body_text string").selectExpr("*", "'t' titulo", "'o' organismo", "'h' content_hash", "'b' body_hash")
+    for rule in (index.ChunkRule(), index.ChunkRule(400, 50, 10)):
+        want = [(i, j, *p) for i, t in enumerate(texts) for j, p in enumerate(index.split_passages(t, rule))]
+        assert rows(index.chunk(notes, rule), "codigo", "chunk_ix", "char_start", "char_end", "texto") == want
+
+
+def test_texts_without_structure_stay_in_the_jvm(spark):
+    """What a task's Python holds doesn't grow with the texts: it gets none of those without heads or blank lines."""
+    d = spark.createDataFrame([("linea\n" * 900,), ("ARTÍCULO 1 a\nARTÍCULO 2 b",), ("a\n \nb",)], "t string").select(index.edges(F.col("t")).alias("e"))
+    assert [r["e"] for r in d.collect()] == [[0, 5400], [0, 13, 25], [0, 4, 5]]
+    plan = index.chunk(spark.createDataFrame([(1, "t", "o", "h", "b", "x")], "codigo long, titulo string, organismo string, content_hash string, body_hash string, body_text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "CONSIDERANDO" in plan
+
+
+def test_postings_shuffle_nothing(spark, chunks):
+    df = index.postings(chunks, IDS)
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    got = {(r["codigo"], r["chunk_ix"], r["term"]): r for r in df.collect()}
+    r = got[1, 0, "azucar"]
+    assert (r["tf_titulo"], r["tf_organismo"], r["tf_texto"], r["wtf"], r["n_tokens"], r["prefix"]) == (1, 0, 0, 8.0, 12, "azucar")
+    assert got[0, 0, "azucar"]["wtf"] == 3.0
+    only = spark.createDataFrame([("azucar",)], "phrase string")
+    assert {r["term"] for r in index.postings(chunks, IDS, only=only).collect()} == {"azucar"}
+
+
 def test_passages():
     texts = ["x" * 30 + "ñandú corre" + "y" * 9, "ñandú corr", None, "", "ñandú corre", "aaaaaaaaaaaaaaaaaaaa", "corto"]
     passages = ["ñandú corre", "a" * 9, "a" * 21, "cort", "", "ú corre" + "y" * 9, "corto" + "x"]

@@ -107,6 +107,26 @@ def occurrences(column: pa.Array, folded: bool = True) -> tuple[pa.Array, np.nda
     return d.dictionary.cast(pa.string()), d.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts_of(begins, edges)
 
 
+def term_counts(columns: list[pa.Array], folded: bool = True) -> tuple[np.ndarray, pa.Array, pa.Array, list[np.ndarray], np.ndarray]:
+    """(rows, terms' places, terms, counts by column, tokens of each row): a row's distinct tokens
+    over all columns, and how often each column has them."""
+    each = [occurrences(c, folded) for c in columns]
+    rows = [np.repeat(np.arange(len(n)), n) for _, _, n in each]
+    d = pa.chunked_array([t for t, _, _ in each]).combine_chunks().dictionary_encode()
+    terms, place = d.dictionary, d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    starts_at = np.cumsum([0, *[len(t) for t, _, _ in each]])
+    m = max(1, len(terms))
+    keys = [r * m + place[a + codes] for r, (_, codes, _), a in zip(rows, each, starts_at)]
+    of = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+    key = np.concatenate(keys)
+    order = np.argsort(key, kind="stable")
+    key, of = key[order], of[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    counts = [np.add.reduceat(of == i, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64) for i in range(len(columns))]
+    sizes = sum((n for _, _, n in each), np.zeros(len(columns[0]), np.int64))
+    return key[first] // m, pa.array(key[first] % m), terms, counts, sizes
+
+
 class Passages:
     """Which texts contain which of some passages, byte for byte: eight bytes of each passage are
     sought at all places of all texts at once, and where they are found the rest is compared."""
